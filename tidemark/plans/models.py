@@ -111,6 +111,10 @@ class Models:
     def value_economy(self) -> DataFrame:
         return self._get("rpt_miles_economy", lambda: value_economy(self.fct_events))
 
+    def tables(self) -> dict[str, DataFrame]:
+        """All nine stored models by table name (input of the check suite)."""
+        return {name: self.table(name) for name in TABLES}
+
     def table(self, name: str) -> DataFrame:
         """A model by its stored-table name."""
         return {

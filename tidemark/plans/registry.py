@@ -12,6 +12,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators import quality, serving
 from tidemark.plans.models import Models
 from tidemark.sources.fixtures import FIXTURES
 
@@ -31,6 +32,27 @@ MODEL_QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "value_flow": lambda m: m.value_flow,
     "category_totals": lambda m: m.category_totals,
     "value_economy": lambda m: m.value_economy,
+    # serving queries (Q1-Q11)
+    "growth_month": lambda m: serving.growth_month(m.growth_accounting),
+    "growth_week": lambda m: serving.growth_week(m.growth_accounting),
+    "net_growth_series": lambda m: serving.net_growth_series(m.net_growth),
+    "retention_triangle": lambda m: serving.retention_triangle(m.cohort_retention),
+    "engagement_all": lambda m: serving.engagement_all(m.engagement),
+    "event_mix": lambda m: serving.event_mix(m.engagement),
+    "users_by_source": lambda m: serving.users_by_source(m.dim_users),
+    "users_by_country": lambda m: serving.users_by_country(m.dim_users),
+    "users_by_platform": lambda m: serving.users_by_platform(m.dim_users),
+    "value_flow_series": lambda m: serving.value_flow_series(m.value_economy),
+    "top_categories": lambda m: serving.top_categories(m.value_economy),
+    # data-quality checks (D1-D11); each returns failing rows or per-check counts
+    "dq_not_null": lambda m: quality.row_check_summary(m.tables(), kinds=("not_null",)),
+    "dq_unique": lambda m: quality.unique_failures(m.tables()),
+    "dq_accepted_values": lambda m: quality.accepted_values_failures(m.tables()),
+    "dq_relationships": lambda m: quality.relationship_failures(m.tables()),
+    "dq_expression": lambda m: quality.row_check_summary(m.tables(), kinds=("expression",)),
+    **{name: (lambda n: lambda m: quality.singular_failures(n, m.tables()))(name)
+       for name in quality.SINGULAR},
+    "dq_summary": lambda m: quality.run_checks(m.tables()),
 }
 
 SUFFIX = {"e": "", "o": "_o"}
