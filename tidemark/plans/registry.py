@@ -13,6 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import quality, serving
+from tidemark.plans import loads
 from tidemark.plans.models import Models
 from tidemark.sources.fixtures import FIXTURES
 
@@ -55,6 +56,13 @@ MODEL_QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "dq_summary": lambda m: quality.run_checks(m.tables()),
 }
 
+# key -> scenario over a whole fixture log that writes through a sink
+LOAD_QUERIES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
+    "stg_events_incremental": loads.incremental_replay,
+    "stg_events_stream": loads.stream_replay,
+    "dim_users_stream": loads.dim_stream,
+}
+
 SUFFIX = {"e": "", "o": "_o"}
 
 
@@ -62,9 +70,15 @@ def _on_models(fn: Callable[[Models], DataFrame], fixture: str, spark: SparkSess
     return fn(Models.from_fixture(spark, sf_dir, fixture))
 
 
+def _on_load(scenario, fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scenario(spark, sf_dir, fixture)
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for fixture in FIXTURES:
         for key, fn in MODEL_QUERIES.items():
             out[key + SUFFIX[fixture]] = partial(_on_models, fn, fixture)
+        for key, scenario in LOAD_QUERIES.items():
+            out[key + SUFFIX[fixture]] = partial(_on_load, scenario, fixture)
     return out
