@@ -20,6 +20,7 @@ from tidemark.operators.spine import activity_spine
 from tidemark.operators.staging import clean_events
 from tidemark.operators.value_flow import category_totals, value_economy, value_flow
 from tidemark.sources.fixtures import raw_events
+from tidemark.streaming.incremental import IncrementalTable
 
 # stored table names, per layer (the reference keeps one schema per layer)
 TABLES = {
@@ -35,6 +36,14 @@ TABLES = {
 }
 
 
+LAYERS_IN_ORDER = ("staging", "marts", "intermediate", "reports")
+
+
+def stg_table(spark: SparkSession, root: str) -> IncrementalTable:
+    """The staging table of a build root (an incremental, manifest-tracked table)."""
+    return IncrementalTable(spark, f"{root.rstrip('/')}/staging/stg_events")
+
+
 class Models:
     """Lazily built models over one raw event log (or over stored tables)."""
 
@@ -47,9 +56,20 @@ class Models:
         return cls(raw=raw_events(spark, sf_dir, fixture))
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, root: str) -> "Models":
-        stored = {name: spark.read.parquet(f"{root.rstrip('/')}/{layer}/{name}")
-                  for name, layer in TABLES.items()}
+    def from_tables(cls, spark: SparkSession, root: str, upto: str = "reports") -> "Models":
+        """Models over stored tables of ``root``, for layers up to ``upto``
+        (a layer name or a table name); later models are computed from them."""
+        if upto in TABLES:
+            names = [n for n in TABLES if LAYERS_IN_ORDER.index(TABLES[n]) < LAYERS_IN_ORDER.index(TABLES[upto])]
+            names.append(upto)
+        else:
+            names = [n for n in TABLES if LAYERS_IN_ORDER.index(TABLES[n]) <= LAYERS_IN_ORDER.index(upto)]
+        stored = {}
+        for name in names:
+            if name == "stg_events":
+                stored[name] = stg_table(spark, root).read()
+            else:
+                stored[name] = spark.read.parquet(f"{root.rstrip('/')}/{TABLES[name]}/{name}")
         return cls(stored=stored)
 
     def _get(self, name: str, build):
