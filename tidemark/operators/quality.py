@@ -168,6 +168,15 @@ SINGULAR_TABLE = {
     "dq_net_balances": "rpt_net_growth",
     "dq_no_double_count": "int_user_activity_periods",
 }
+# models each singular check reads
+SINGULAR_INPUTS = {
+    "dq_retention_m0": ("rpt_cohort_retention",),
+    "dq_cohort_size": ("dim_users", "rpt_cohort_retention"),
+    "dq_engagement_active": ("rpt_engagement", "fct_events"),
+    "dq_growth_active": ("rpt_growth_accounting", "fct_events"),
+    "dq_net_balances": ("rpt_net_growth",),
+    "dq_no_double_count": ("int_user_activity_periods",),
+}
 SINGULAR_CHECKS: list[Check] = [
     Check(len(COLUMN_CHECKS) + i, SINGULAR_TABLE[n], "", "singular", name=n)
     for i, n in enumerate(SINGULAR, start=1)
@@ -175,6 +184,13 @@ SINGULAR_CHECKS: list[Check] = [
 ALL_CHECKS: list[Check] = COLUMN_CHECKS + SINGULAR_CHECKS
 
 ROW_KINDS = ("not_null", "accepted_values", "expression")
+
+
+def tables_of(kind: str) -> tuple[str, ...]:
+    """Tables a kind of column check reads (parents of relationships included)."""
+    names = [c.table for c in COLUMN_CHECKS if c.kind == kind]
+    names += [c.to_table for c in COLUMN_CHECKS if c.kind == kind and c.to_table]
+    return tuple(dict.fromkeys(names))
 SUMMARY_COLUMNS = ("check_id", "check_name", "kind", "table_name", "column_name", "failing_rows")
 
 

@@ -19,9 +19,23 @@ from tidemark.operators.retention import cohort_retention
 from tidemark.operators.spine import activity_spine
 from tidemark.operators.staging import clean_events
 from tidemark.operators.value_flow import category_totals, value_economy, value_flow
+from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.streaming.incremental import IncrementalTable
 
+# models each stored table is built from (TABLES is in dependency order)
+DEPENDS = {
+    "stg_events": (),
+    "dim_users": ("stg_events",),
+    "fct_events": ("stg_events",),
+    "int_user_activity_periods": ("fct_events",),
+    "rpt_growth_accounting": ("int_user_activity_periods", "dim_users"),
+    "rpt_net_growth": ("rpt_growth_accounting",),
+    "rpt_cohort_retention": ("dim_users", "int_user_activity_periods"),
+    "rpt_engagement": ("fct_events",),
+    "rpt_miles_economy": ("fct_events",),
+}
+
 # stored table names, per layer (the reference keeps one schema per layer)
 TABLES = {
     "stg_events": "staging",
@@ -131,6 +145,40 @@ class Models:
     def value_economy(self) -> DataFrame:
         return self._get("rpt_miles_economy", lambda: value_economy(self.fct_events))
 
+    def materialized(self, names=None) -> "Models":
+        """Models whose tables (``names`` and everything they are built from)
+        are written once as Parquet, in dependency order, and read back.
+
+        Used where many queries read the same models (the check suite): each
+        model is computed once instead of every branch recomputing the
+        pipeline from the raw scan, and lineage is cut at each table.  The
+        folder is a fresh one below the shared ``spark.checkpoint.dir``, so
+        the tables survive the loss of an executor.
+        """
+        wanted: set[str] = set()
+        stack = list(names or TABLES)
+        while stack:
+            n = stack.pop()
+            if n not in wanted:
+                wanted.add(n)
+                stack.extend(DEPENDS[n])
+        root = None
+        current = self
+        for name in TABLES:
+            if name in wanted and name not in current._stored:
+                if root is None:
+                    root = scratch_path(self.spark, "models")
+                path = f"{root}/{name}"
+                current.table(name).write.mode("overwrite").parquet(path)
+                current = Models(raw=self._raw, stored={**current._stored,
+                                                        name: self.spark.read.parquet(path)})
+        return current
+
+    @property
+    def spark(self) -> SparkSession:
+        any_df = self._raw if self._raw is not None else next(iter(self._stored.values()))
+        return any_df.sparkSession
+
     def tables(self) -> dict[str, DataFrame]:
         """All nine stored models by table name (input of the check suite)."""
         return {name: self.table(name) for name in TABLES}

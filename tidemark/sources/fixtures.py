@@ -68,8 +68,23 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def fan_out(df: DataFrame) -> DataFrame:
+    """Spread a fact-table scan that yields fewer splits than the session has cores.
+
+    A file written as one row group is one split, so every per-row step
+    above it (text formatting, casts, hashing) would run in one task.  Below
+    the default parallelism the scan is round-robin repartitioned to it; an
+    input at scale already has far more splits than cores and is left as it
+    is, so there this adds no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def raw_events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = fan_out(_read(spark, sf_dir, "events")).select("event_id", "ts", "user_id", "event_type", "value")
     kind, eid, uid = F.col("event_type"), F.col("event_id"), F.col("user_id")
     earned, redeemed = kind == "view", kind == "purchase"
     category = F.concat(F.lit(" Cat_"), (eid % 7).cast("string"))
@@ -88,7 +103,7 @@ def raw_events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events_o(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _read(spark, sf_dir, "orders").select(
+    orders = fan_out(_read(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # Plain equi-join: Catalyst broadcasts the customer side only when its
