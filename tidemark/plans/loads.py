@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.staging import clean_events
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
-from tidemark.sources.raw_events import RAW_COLUMNS
+from tidemark.sources.raw_events import CSV_TEXT_OPTIONS, RAW_COLUMNS
 from tidemark.streaming.incremental import IncrementalTable
 from tidemark.streaming.stream import dim_users_stream, stage_events_stream
 
@@ -47,10 +47,8 @@ def _stage_deliveries(spark: SparkSession, sf_dir: str, fixture: str, source_dir
     cut = split_micros(raw.where(F.col("event_time").isNotNull()).select(typed.alias("event_time")))
     early = F.unix_micros(typed) <= F.lit(cut)
     # raw text must survive the CSV round trip: the key hashes it verbatim
-    writer_opts = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-
     def deliver(rows: DataFrame) -> None:
-        rows.select(*RAW_COLUMNS).write.mode("append").options(**writer_opts).csv(source_dir)
+        rows.select(*RAW_COLUMNS).write.mode("append").options(**CSV_TEXT_OPTIONS).csv(source_dir)
 
     return (lambda: deliver(raw.where(early | F.col("event_time").isNull())),
             lambda: deliver(raw.where(~early)))

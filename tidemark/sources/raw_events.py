@@ -9,6 +9,7 @@ what they mean.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_COLUMNS = (
@@ -40,4 +41,32 @@ def read_raw_csv(spark: SparkSession, path: str, file_name: str | None = DEFAULT
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
     """Write a raw log in the same CSV layout (used to stage stream deliveries)."""
-    df.select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*RAW_COLUMNS).write.mode("overwrite").options(**CSV_TEXT_OPTIONS).csv(path)
+
+
+# -- daily-partitioned layout (S3): root/date=YYYY-MM-DD/*.csv ---------------
+
+DAILY_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField("date", T.DateType(), True)])
+CSV_TEXT_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_raw_daily(spark: SparkSession, root: str, date_from: str | None = None,
+                   date_to: str | None = None) -> DataFrame:
+    """Scan daily raw files; a date range becomes a partition filter, so only
+    the folders of those days are listed and read."""
+    df = spark.read.schema(DAILY_SCHEMA).option("header", True).option("mode", "FAILFAST").csv(root)
+    if date_from is not None:
+        df = df.where(F.col("date") >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        df = df.where(F.col("date") <= F.lit(date_to).cast("date"))
+    return df.select(*RAW_COLUMNS)
+
+
+def write_raw_daily(df: DataFrame, root: str) -> None:
+    """Lay a raw log out as daily folders by the date written in ``event_time``.
+
+    Raw text is written verbatim (no blank trimming): the event key hashes it.
+    """
+    day = F.substring(F.col("event_time"), 1, 10).cast("date")
+    (df.select(*RAW_COLUMNS, day.alias("date")).write.mode("overwrite")
+     .options(**CSV_TEXT_OPTIONS).partitionBy("date").csv(root))
