@@ -145,23 +145,24 @@ class Models:
     def value_economy(self) -> DataFrame:
         return self._get("rpt_miles_economy", lambda: value_economy(self.fct_events))
 
-    def materialized(self, names=None) -> "Models":
+    def materialized(self, names=None, with_inputs: bool = True) -> "Models":
         """Models whose tables (``names`` and everything they are built from)
         are written once as Parquet, in dependency order, and read back.
 
         Used where many queries read the same models (the check suite): each
         model is computed once instead of every branch recomputing the
-        pipeline from the raw scan, and lineage is cut at each table.  The
+        pipeline from the raw scan, and lineage is cut at each table.  With
+        ``with_inputs=False`` only the named tables are written (e.g. a small
+        report read by two jobs, computed in one plan from the raw log).  The
         folder is a fresh one below the shared ``spark.checkpoint.dir``, so
         the tables survive the loss of an executor.
         """
-        wanted: set[str] = set()
-        stack = list(names or TABLES)
+        wanted: set[str] = set(names or TABLES)
+        stack = list(wanted) if with_inputs else []
         while stack:
             n = stack.pop()
-            if n not in wanted:
-                wanted.add(n)
-                stack.extend(DEPENDS[n])
+            wanted.add(n)
+            stack.extend(d for d in DEPENDS[n] if d not in wanted)
         root = None
         current = self
         for name in TABLES:

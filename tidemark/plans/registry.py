@@ -37,7 +37,10 @@ MODEL_QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "growth_month": lambda m: serving.growth_month(m.growth_accounting),
     "growth_week": lambda m: serving.growth_week(m.growth_accounting),
     "net_growth_series": lambda m: serving.net_growth_series(m.net_growth),
-    "retention_triangle": lambda m: serving.retention_triangle(m.cohort_retention),
+    # the pivot needs the offsets first: the small report is written once and
+    # read by both jobs instead of being computed twice from the raw log
+    "retention_triangle": lambda m: serving.retention_triangle(
+        m.materialized(["rpt_cohort_retention"], with_inputs=False).cohort_retention),
     "engagement_all": lambda m: serving.engagement_all(m.engagement),
     "event_mix": lambda m: serving.event_mix(m.engagement),
     "users_by_source": lambda m: serving.users_by_source(m.dim_users),

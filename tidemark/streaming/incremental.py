@@ -98,11 +98,19 @@ class IncrementalTable:
     def partition_col(self) -> str | None:
         return {"month": "event_month", "day": self.date_col, None: None}[self.partition_grain]
 
-    def _with_partition(self, df: DataFrame) -> DataFrame:
+    def _layout(self, df: DataFrame) -> DataFrame:
+        """Add the partition column, cluster rows by it, sort each file by time.
+
+        The rebalance gives one writer per partition value instead of one
+        file per value per task; AQE splits a value that holds a large share
+        of the rows and merges small ones.  If AQE prunes an empty stage
+        together with the observed metrics, ``append`` recounts.
+        """
         if self.partition_grain == "month":
             df = df.withColumn("event_month", F.trunc(F.col(self.date_col), "month"))
         if self.partition_col:
-            return df.sortWithinPartitions(self.partition_col, self.time_col)
+            return (df.hint("rebalance", self.partition_col)
+                    .sortWithinPartitions(self.partition_col, self.time_col))
         return df.sortWithinPartitions(self.time_col)
 
     # ------------------------------------------------------------------ paths
@@ -192,7 +200,8 @@ class IncrementalTable:
             observed = batch.observe(late_obs, late.cast("long").alias("late_rows"))
             to_write = observed if keep is None else observed.where(keep)
             to_write = to_write.observe(load_obs, F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"))
-            writer = self._with_partition(to_write).write.mode("overwrite")
+            to_write = self._layout(to_write)
+            writer = to_write.write.mode("overwrite")
             if self.partition_col:
                 writer = writer.partitionBy(self.partition_col)
             writer.parquet(self._load_dir(next_id))
