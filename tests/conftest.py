@@ -16,7 +16,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     ckpt = tempfile.mkdtemp(prefix="tidemark-tests-")
     s = build_session("local[4]", app_name="tidemark-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt,
+                             "spark.sql.warehouse.dir": os.path.join(ckpt, "warehouse")})
     yield s
     s.stop()
 

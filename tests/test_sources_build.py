@@ -74,3 +74,24 @@ def test_build_writes_every_layer_and_rerun_adds_nothing(spark):
                  "rpt_engagement", "rpt_miles_economy", "rpt_net_growth"):
         cols = fresh.table(name).columns
         assert _same(stored.table(name).select(*cols), fresh.table(name)), name
+
+
+def test_bucketed_build_reads_user_tables_without_shuffle(spark):
+    from tidemark.operators.growth import classify, growth_accounting
+    from tidemark.plans.build import _bucketed_inputs
+
+    raw = raw_events(spark, SF_SMALL, "o")
+    root = scratch_path(spark, "bucketed")
+    build_all(spark, raw, root, check=False, buckets=4, database="tidemark_test")
+    stored = Models.from_tables(spark, root)
+    fresh = Models.from_fixture(spark, SF_SMALL, "o")
+    for name in ("rpt_growth_accounting", "rpt_cohort_retention", "rpt_net_growth"):
+        assert _same(stored.table(name).select(*fresh.table(name).columns), fresh.table(name)), name
+    b = _bucketed_inputs(spark, "tidemark_test")
+    labels = classify(b["int_user_activity_periods"], prepartitioned=True)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        labels.explain("formatted")
+    head = buf.getvalue().split("\n\n(1)")[0]
+    assert "Window" in head and "Exchange" not in head
+    assert _same(growth_accounting(labels, b["dim_users"]), fresh.growth_accounting)

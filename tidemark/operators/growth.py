@@ -28,9 +28,14 @@ NET_COLUMNS = ("period_start", "net_growth", "new_users", "retained_users",
                "resurrected_users", "churned_users")
 
 
-def windowed(spine: DataFrame) -> DataFrame:
-    """Spine rows with previous / following active period and first period."""
-    by_user = spine.repartition("user_id")
+def windowed(spine: DataFrame, prepartitioned: bool = False) -> DataFrame:
+    """Spine rows with previous / following active period and first period.
+
+    ``prepartitioned=True`` when the spine is read from a table bucketed by
+    ``user_id``: the bucketing then satisfies the window and the join, and no
+    shuffle is added at all.
+    """
+    by_user = spine if prepartitioned else spine.repartition("user_id")
     w = Window.partitionBy("user_id", "period_grain").orderBy("period_start")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return by_user.select(
@@ -41,9 +46,9 @@ def windowed(spine: DataFrame) -> DataFrame:
     )
 
 
-def classify(spine: DataFrame) -> DataFrame:
+def classify(spine: DataFrame, prepartitioned: bool = False) -> DataFrame:
     """(user_id, period_grain, period_start, cohort_type): one label per user and period."""
-    win = windowed(spine)
+    win = windowed(spine, prepartitioned)
     start = F.col("period_start")
     active = (F.when(start == F.col("first_period_start"), F.lit("new"))
                .when(F.col("lag_period_start") == F.col("prior_period_start"), F.lit("retained"))

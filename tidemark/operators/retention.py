@@ -23,11 +23,11 @@ def cohort_sizes(dim_users: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("cohort_size")))
 
 
-def cohort_retention(dim_users: DataFrame, spine: DataFrame) -> DataFrame:
+def cohort_retention(dim_users: DataFrame, spine: DataFrame, prepartitioned: bool = False) -> DataFrame:
     cohorts = dim_users.select("user_id", month_start("first_seen_at").alias("cohort_month"))
-    monthly = (spine.where(F.col("period_grain") == "month")
-               .select("user_id", "period_start")
-               .repartition("user_id"))
+    monthly = spine.where(F.col("period_grain") == "month").select("user_id", "period_start")
+    if not prepartitioned:  # a spine bucketed by user already is
+        monthly = monthly.repartition("user_id")
     # one spine row per (user, month) and one dimension row per user, so a
     # row count equals the reference's distinct count of users
     active = (cohorts.join(monthly, "user_id", "inner")
