@@ -128,3 +128,28 @@ def build_all(spark: SparkSession, raw: DataFrame, root: str, on_empty: str = "f
 
 def open_staging(spark: SparkSession, root: str) -> IncrementalTable:
     return stg_table(spark, root)
+
+
+def register_tables(spark: SparkSession, root: str, prefix: str = "main") -> list[str]:
+    """Expose a build as catalog tables ``{prefix}_{layer}.{name}`` (S8).
+
+    Reports, marts and the spine become external Parquet tables over their
+    folders, so SQL written against the layered schemas runs unchanged with
+    ``spark.sql``; the staging table is registered as a view over its
+    committed loads only.  Returns the qualified names.
+    """
+    names = []
+    for name, layer in TABLES.items():
+        db = f"{prefix}_{layer}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root.rstrip('/')}/catalog/{db}.db'")
+        qualified = f"{db}.{name}"
+        if name == "stg_events":
+            stg_table(spark, root).read().createOrReplaceTempView(f"{db}_{name}")
+            names.append(f"{db}_{name}")
+            continue
+        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{table_path(root, name)}'")
+        if name in PARTITIONING:
+            spark.sql(f"MSCK REPAIR TABLE {qualified}")
+        names.append(qualified)
+    return names
