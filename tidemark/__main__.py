@@ -3,6 +3,7 @@
     python -m tidemark build --raw DIR --out ROOT [--daily] [--from D --to D] [--buckets N] [--strict]
     python -m tidemark check --out ROOT
     python -m tidemark serve --out ROOT [QUERY ...] [--csv DIR]
+    python -m tidemark sql --out ROOT "SELECT ... FROM main_reports.rpt_net_growth"
 
 ``build`` loads the raw CSV log incrementally and rebuilds every table,
 ``check`` runs the 90 checks over the stored tables (exit status 1 when one
@@ -18,7 +19,7 @@ import sys
 
 from tidemark.operators import serving
 from tidemark.operators.quality import run_checks
-from tidemark.plans.build import build_all
+from tidemark.plans.build import build_all, register_tables
 from tidemark.plans.models import Models
 from tidemark.session import build_session
 from tidemark.sources.raw_events import read_raw_csv, read_raw_daily
@@ -57,6 +58,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("queries", nargs="*", default=list(SERVING))
     s.add_argument("--csv", default=None, help="write each result as CSV below this folder")
+    q = sub.add_parser("sql", help="run SQL over the stored layers (main_reports.*, main_marts.*, ...)")
+    q.add_argument("--out", required=True)
+    q.add_argument("statement")
+    q.add_argument("--limit", type=int, default=100, help="rows to print")
     return p
 
 
@@ -74,6 +79,10 @@ def main(argv: list[str] | None = None) -> int:
         if res.checks is not None:
             return _report(res.checks)
         return 0
+    if args.cmd == "sql":
+        register_tables(spark, args.out)
+        spark.sql(args.statement).show(args.limit, truncate=False)
+        return 0
     models = Models.from_tables(spark, args.out)
     if args.cmd == "check":
         return _report(run_checks(models.tables()))
