@@ -99,7 +99,8 @@ class IncrementalTable:
         return {"month": "event_month", "day": self.date_col, None: None}[self.partition_grain]
 
     def _layout(self, df: DataFrame) -> DataFrame:
-        """Add the partition column, cluster rows by it, sort each file by time.
+        """Add the partition column and cluster rows by it (files are sorted
+        by partition and time in ``append``).
 
         The rebalance gives one writer per partition value instead of one
         file per value per task; AQE splits a value that holds a large share
@@ -109,9 +110,8 @@ class IncrementalTable:
         if self.partition_grain == "month":
             df = df.withColumn("event_month", F.trunc(F.col(self.date_col), "month"))
         if self.partition_col:
-            return (df.hint("rebalance", self.partition_col)
-                    .sortWithinPartitions(self.partition_col, self.time_col))
-        return df.sortWithinPartitions(self.time_col)
+            return df.hint("rebalance", self.partition_col)
+        return df
 
     # ------------------------------------------------------------------ paths
     @property
@@ -197,11 +197,15 @@ class IncrementalTable:
             late_when = (t <= F.lit(mark)) if mark is not None else F.lit(False)
             late = F.count(F.when(late_when, F.lit(1)))
             late_obs, load_obs = Observation(), Observation()
-            observed = batch.observe(late_obs, late.cast("long").alias("late_rows"))
+            # both observations sit in the write's result stage, after the
+            # layout shuffle: result-stage metrics count each partition once
+            # even when a lost executor makes Spark re-run map stages
+            laid_out = self._layout(batch)
+            observed = laid_out.observe(late_obs, late.cast("long").alias("late_rows"))
             to_write = observed if keep is None else observed.where(keep)
             to_write = to_write.observe(load_obs, F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"))
-            to_write = self._layout(to_write)
-            writer = to_write.write.mode("overwrite")
+            order = [self.partition_col, self.time_col] if self.partition_col else [self.time_col]
+            writer = to_write.sortWithinPartitions(*order).write.mode("overwrite")
             if self.partition_col:
                 writer = writer.partitionBy(self.partition_col)
             writer.parquet(self._load_dir(next_id))
