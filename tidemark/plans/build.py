@@ -29,7 +29,7 @@ from tidemark.operators.spine import activity_spine
 from tidemark.operators.staging import clean_events
 from tidemark.operators.value_flow import value_economy
 from tidemark.plans.models import TABLES, Models, stg_table
-from tidemark.streaming.incremental import IncrementalTable, LoadResult
+from tidemark.streaming.incremental import LoadResult
 
 PARTITIONING = {"rpt_growth_accounting": ["period_grain"]}
 # tables joined on user_id by the reports; bucketed by it when asked
@@ -126,9 +126,6 @@ def build_all(spark: SparkSession, raw: DataFrame, root: str, on_empty: str = "f
     return result
 
 
-def open_staging(spark: SparkSession, root: str) -> IncrementalTable:
-    return stg_table(spark, root)
-
 
 def register_tables(spark: SparkSession, root: str, prefix: str = "main") -> list[str]:
     """Expose a build as catalog tables ``{prefix}_{layer}.{name}`` (S8).

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.staging import STG_COLUMNS, STG_SCHEMA
+from tidemark.operators.staging import STG_SCHEMA
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("load_id", T.LongType(), False),
@@ -226,7 +226,3 @@ class IncrementalTable:
 def append_above_high_water(target: IncrementalTable, batch: DataFrame, on_empty: str = "full") -> LoadResult:
     """Functional form of ``IncrementalTable.append``."""
     return target.append(batch, on_empty=on_empty)
-
-
-def select_stg(df: DataFrame) -> DataFrame:
-    return df.select(*STG_COLUMNS)
