@@ -107,3 +107,23 @@ def test_registered_scenarios_return_whole_log(spark):
     dim = dim_stream(spark, SF_SMALL, "o")
     ref = build_dim_users(clean_events(raw_events(spark, SF_SMALL, "o")))
     assert dim.exceptAll(ref.select(*dim.columns)).count() == 0 and dim.count() == ref.count()
+
+
+def test_time_range_read_prunes_loads_and_months(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    stg = clean_events(raw_events(spark, SF_SMALL, "o"))
+    target = IncrementalTable(spark, scratch_path(spark, "ranges"))
+    target.append(stg.where(F.col("event_time") < F.lit("1997-01-01").cast("timestamp")))
+    target.append(stg)
+    lo, hi = dt.datetime(1998, 3, 15), dt.datetime(1998, 6, 30, 23, 59)
+    got = target.read(lo, hi)
+    want = stg.where(F.col("event_time").between(F.lit(lo), F.lit(hi)))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        got.explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(event_month" in plan
+    assert "load_id=00000" not in plan  # the first load ends before the range

@@ -44,6 +44,7 @@ from tidemark.operators.staging import STG_SCHEMA
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("load_id", T.LongType(), False),
     T.StructField("max_event_time", T.TimestampType(), True),
+    T.StructField("min_event_time", T.TimestampType(), True),
     T.StructField("rows", T.LongType(), False),
     T.StructField("late_rows", T.LongType(), False),
     T.StructField("loaded_at", T.TimestampType(), False),
@@ -138,10 +139,10 @@ class IncrementalTable:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
         return self.spark.read.parquet(self.manifest_root).select(*MANIFEST_SCHEMA.fieldNames())
 
-    def _commit(self, load_id: int, max_t, rows: int, late_rows: int) -> None:
+    def _commit(self, load_id: int, max_t, min_t, rows: int, late_rows: int) -> None:
         """Write the load's manifest row; only after this is the load visible."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        (self.spark.createDataFrame([(load_id, max_t, rows, late_rows, now)], MANIFEST_SCHEMA)
+        (self.spark.createDataFrame([(load_id, max_t, min_t, rows, late_rows, now)], MANIFEST_SCHEMA)
          .coalesce(1).write.mode("overwrite").parquet(f"{self.manifest_root}/load={load_id:05d}"))
 
     def _committed(self) -> list:
@@ -157,16 +158,37 @@ class IncrementalTable:
         return max(marks) if marks else None
 
     # ------------------------------------------------------------------- read
-    def read(self) -> DataFrame:
-        """All committed rows (loads without a manifest row are ignored)."""
-        return self._read_loads([r.load_id for r in self._committed() if r.rows > 0])
+    def read(self, time_from: dt.datetime | None = None, time_to: dt.datetime | None = None) -> DataFrame:
+        """Committed rows (loads without a manifest row are ignored).
 
-    def _read_loads(self, loads: list[int]) -> DataFrame:
+        A time range skips whole loads by their recorded min / max time and,
+        within a load, whole month folders by a partition filter; Parquet
+        row-group statistics on the time-sorted files prune the rest.
+        """
+        loads = [r.load_id for r in self._committed() if r.rows > 0
+                 and (time_from is None or r.max_event_time >= time_from)
+                 and (time_to is None or r.min_event_time <= time_to)]
+        df = self._read_loads(loads, keep_partition=True)
+        t = F.col(self.time_col)
+        if time_from is not None:
+            df = df.where(t >= F.lit(time_from))
+            if self.partition_grain == "month":
+                df = df.where(F.col("event_month") >= F.trunc(F.lit(time_from).cast("date"), "month"))
+        if time_to is not None:
+            df = df.where(t <= F.lit(time_to))
+            if self.partition_grain == "month":
+                df = df.where(F.col("event_month") <= F.trunc(F.lit(time_to).cast("date"), "month"))
+        return df.select(*self.schema.fieldNames())
+
+    def _read_loads(self, loads: list[int], keep_partition: bool = False) -> DataFrame:
+        extra = ([T.StructField("event_month", T.DateType(), True)]
+                 if keep_partition and self.partition_grain == "month" else [])
+        schema = T.StructType(self.schema.fields + extra)
         if not loads:
-            return self.spark.createDataFrame([], self.schema)
-        df = (self.spark.read.schema(self.schema).option("basePath", self.data_root)
+            return self.spark.createDataFrame([], schema)
+        df = (self.spark.read.schema(schema).option("basePath", self.data_root)
               .parquet(*[self._load_dir(i) for i in loads]))
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
     # ----------------------------------------------------------------- append
     def append(self, batch: DataFrame, on_empty: str = "full", load_id: int | None = None) -> LoadResult:
@@ -191,7 +213,7 @@ class IncrementalTable:
         t = F.col(self.time_col)
         if committed and mark is None and on_empty == "strict":
             # the reference compares with a null maximum: no row ever loads
-            rows, late_rows, max_t = 0, batch.count(), None
+            rows, late_rows, max_t, min_t = 0, batch.count(), None, None
         else:
             keep = t > F.lit(mark) if mark is not None else None
             late_when = (t <= F.lit(mark)) if mark is not None else F.lit(False)
@@ -203,7 +225,8 @@ class IncrementalTable:
             laid_out = self._layout(batch)
             observed = laid_out.observe(late_obs, late.cast("long").alias("late_rows"))
             to_write = observed if keep is None else observed.where(keep)
-            to_write = to_write.observe(load_obs, F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"))
+            to_write = to_write.observe(load_obs, F.count(F.lit(1)).alias("rows"),
+                                        F.max(t).alias("max_t"), F.min(t).alias("min_t"))
             order = [self.partition_col, self.time_col] if self.partition_col else [self.time_col]
             writer = to_write.sortWithinPartitions(*order).write.mode("overwrite")
             if self.partition_col:
@@ -213,13 +236,14 @@ class IncrementalTable:
                 load_m, late_m = load_obs.get, late_obs.get
                 rows = int(load_m["rows"] or 0)
                 late_rows = int(late_m["late_rows"] or 0)
-                max_t = load_m["max_t"]
+                max_t, min_t = load_m["max_t"], load_m["min_t"]
             except Exception:  # metrics pruned from the executed plan: recount
                 written = self._read_loads([next_id])
-                stats = written.agg(F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t")).first()
-                rows, max_t = int(stats.rows), stats.max_t
+                stats = written.agg(F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"),
+                                    F.min(t).alias("min_t")).first()
+                rows, max_t, min_t = int(stats.rows), stats.max_t, stats.min_t
                 late_rows = count_late(batch, mark, self.time_col)
-        self._commit(next_id, max_t, rows, late_rows)
+        self._commit(next_id, max_t, min_t, rows, late_rows)
         return LoadResult(next_id, rows, late_rows, max_t)
 
 
