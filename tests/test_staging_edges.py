@@ -114,3 +114,11 @@ def test_rounding_half_away_on_scaled_double(spark):
     df = spark.createDataFrame([(23.0 / 40,), (1.0 / 8,), (2.0 / 3,)], "x double")
     got = [r[0] for r in df.select(round_half_away(F.col("x"), 2)).collect()]
     assert got == [0.57, 0.13, 0.67]
+
+
+def test_fixture_lookup_keeps_null_ids_null(spark):
+    from tidemark.sources.fixtures import COUNTRY_BY_MOD5, _pick
+    df = spark.createDataFrame([(7,), (None,)], "k long")
+    got = [r.v for r in df.select(_pick(COUNTRY_BY_MOD5, F.col("k") % 5).alias("v")).collect()]
+    assert got == ["ph", None]
+    assert df.select(_pick(COUNTRY_BY_MOD5, F.col("k") % 5).alias("v")).where("v is not null").count() == 1

@@ -52,8 +52,16 @@ FIXTURES = ("e", "o")
 
 
 def _pick(labels: list[str], index: Column) -> Column:
-    """labels[index] for a non-negative integer index."""
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), (index + F.lit(1)).cast("int"))
+    """labels[index] for a non-negative integer index; null for a null index.
+
+    Written as a CASE: ``element_at`` over a literal array is typed
+    non-nullable, so a null index silently picks an element and a later
+    not-null filter on the result is optimised away.
+    """
+    expr = None
+    for i, v in enumerate(labels):
+        expr = F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v))
+    return expr
 
 
 def _lookup(mapping: dict[str, str], key: Column) -> Column:
