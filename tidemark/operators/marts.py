@@ -38,11 +38,25 @@ def build_fct_events(stg: DataFrame) -> DataFrame:
     )
 
 
-def build_dim_users(stg: DataFrame) -> DataFrame:
-    """One row per user, anchored on the user's first event."""
+def first_and_last(events: DataFrame) -> DataFrame:
+    """(user_id, first, last_seen_at): the dimension's aggregate state.
+
+    ``first`` is the minimum first-event struct and ``last_seen_at`` the
+    maximum time; both are idempotent and associative, so partial results
+    (map-side, or per micro-batch) merge by applying the same aggregate.
+    """
     first = F.min(F.struct(*[F.col(c) for c in FIRST_EVENT_ORDER])).alias("first")
-    agg = stg.groupBy("user_id").agg(first, F.max("event_time").alias("last_seen_at"))
-    return agg.select(
+    return events.groupBy("user_id").agg(first, F.max("event_time").alias("last_seen_at"))
+
+
+def merge_first_and_last(states: DataFrame) -> DataFrame:
+    """Merge several (user_id, first, last_seen_at) states into one per user."""
+    return states.groupBy("user_id").agg(F.min("first").alias("first"),
+                                         F.max("last_seen_at").alias("last_seen_at"))
+
+
+def dim_from_state(state: DataFrame) -> DataFrame:
+    return state.select(
         F.md5(F.col("user_id")).alias("user_sk"),
         "user_id",
         F.col("first.gender").alias("gender"),
@@ -53,3 +67,8 @@ def build_dim_users(stg: DataFrame) -> DataFrame:
         F.col("first.event_time").alias("first_seen_at"),
         "last_seen_at",
     )
+
+
+def build_dim_users(stg: DataFrame) -> DataFrame:
+    """One row per user, anchored on the user's first event."""
+    return dim_from_state(first_and_last(stg))

@@ -16,7 +16,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.sources.raw_events import CSV_TEXT_OPTIONS, RAW_COLUMNS
 from tidemark.streaming.incremental import IncrementalTable
-from tidemark.streaming.stream import dim_users_stream, stage_events_stream
+from tidemark.streaming.stream import dim_users_stream, read_dim_users, stage_events_stream
 
 
 def split_micros(df: DataFrame, time_col: str = "event_time") -> int:
@@ -73,4 +73,4 @@ def dim_stream(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
     for deliver in _stage_deliveries(spark, sf_dir, fixture, source_dir):
         deliver()
         dim_users_stream(spark, source_dir, table, checkpoint).awaitTermination()
-    return spark.read.parquet(table)
+    return read_dim_users(spark, table)

@@ -6,10 +6,13 @@
   a failure finds its id committed and is skipped, so the sink is idempotent.
   ``maxFilesPerTrigger`` stays unset: one delivery is one micro-batch, which
   is what makes "late" mean the same as in a batch load.
-* ``streaming_dim_users``: the dimension's one aggregate (min of the
-  first-event struct, max of time) runs unchanged on a stream; in complete
-  mode each trigger rewrites the dimension table from the state store, which
-  holds one row per user spread over the executors.
+* ``dim_users_stream``: the dimension's one aggregate (min of the
+  first-event struct, max of time) runs unchanged on a stream in **update**
+  mode: each trigger appends only the users it changed, as one folder per
+  batch id (overwritten on replay, so idempotent).  Because the aggregate is
+  a min / max, ``read_dim_users`` merges the folders with the same
+  aggregate; no trigger rewrites the whole dimension, and the state store
+  (one row per user) is spread over the executors.
 
 ``withWatermark`` is deliberately not used for ST5: its cut-off rule is not
 "strictly above the stored maximum".
@@ -20,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.marts import build_dim_users
+from tidemark.operators.marts import dim_from_state, first_and_last, merge_first_and_last
 from tidemark.operators.staging import clean_events
 from tidemark.sources.raw_events import RAW_SCHEMA
 from tidemark.streaming.incremental import IncrementalTable
@@ -46,20 +49,22 @@ def stage_events_stream(spark: SparkSession, source_dir: str, target: Incrementa
             .start())
 
 
-def streaming_dim_users(stg_stream: DataFrame) -> DataFrame:
-    return build_dim_users(stg_stream)
-
-
 def dim_users_stream(spark: SparkSession, source_dir: str, table_path: str,
                      checkpoint: str) -> StreamingQuery:
-    """Maintain ``dim_users`` from raw deliveries (complete mode, table rewritten per trigger)."""
+    """Maintain ``dim_users`` from raw deliveries (update mode, changed users only)."""
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id:06d}")
 
-    dim = streaming_dim_users(clean_events(raw_event_stream(spark, source_dir)))
-    return (dim.writeStream.outputMode("complete")
+    state = first_and_last(clean_events(raw_event_stream(spark, source_dir)))
+    return (state.writeStream.outputMode("update")
             .foreachBatch(publish)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+def read_dim_users(spark: SparkSession, table_path: str) -> DataFrame:
+    """The dimension as of the last committed trigger: merge of all updates."""
+    updates = spark.read.parquet(table_path).select("user_id", "first", "last_seen_at")
+    return dim_from_state(merge_first_and_last(updates))
