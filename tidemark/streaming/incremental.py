@@ -134,10 +134,11 @@ class IncrementalTable:
         return p.getFileSystem(conf).exists(p)
 
     def manifest(self) -> DataFrame:
-        """Committed loads, one row each (an empty frame when none)."""
+        """Committed loads, one row each in load order (an empty frame when none)."""
         if not self._fs_exists(self.manifest_root):
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return self.spark.read.parquet(self.manifest_root).select(*MANIFEST_SCHEMA.fieldNames())
+        return (self.spark.read.parquet(self.manifest_root)
+                .select(*MANIFEST_SCHEMA.fieldNames()).orderBy("load_id"))
 
     def _commit(self, load_id: int, max_t, min_t, rows: int, late_rows: int) -> None:
         """Write the load's manifest row; only after this is the load visible."""
@@ -148,7 +149,7 @@ class IncrementalTable:
     def _committed(self) -> list:
         # one small row per load: the list of loads is metadata, bounded by
         # the number of deliveries, never by the data volume
-        return self.manifest().orderBy("load_id").collect()
+        return self.manifest().collect()
 
     def exists(self) -> bool:
         return bool(self._committed())
