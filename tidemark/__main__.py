@@ -32,6 +32,7 @@ SERVING = {
     "retention_triangle": lambda m: serving.retention_triangle(m.cohort_retention),
     "engagement_all": lambda m: serving.engagement_all(m.engagement),
     "event_mix": lambda m: serving.event_mix(m.engagement),
+    "event_types": lambda m: serving.event_types(m.engagement),
     "users_by_source": lambda m: serving.users_by_source(m.dim_users),
     "users_by_country": lambda m: serving.users_by_country(m.dim_users),
     "users_by_platform": lambda m: serving.users_by_platform(m.dim_users),

@@ -71,6 +71,11 @@ def event_mix(eng: DataFrame) -> DataFrame:
     return eng.where(F.col("event_type") != SUMMARY_LABEL).orderBy("month", "event_type")
 
 
+def event_types(eng: DataFrame) -> DataFrame:
+    """Distinct event types of the per-type engagement rows (one chart series each)."""
+    return event_mix(eng).select("event_type").distinct().orderBy("event_type")
+
+
 def users_by(dim: DataFrame, column: str, alias: str | None = None) -> DataFrame:
     name = alias or column
     return (dim.groupBy(F.col(column).alias(name))
