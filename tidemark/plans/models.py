@@ -36,6 +36,10 @@ DEPENDS = {
     "rpt_miles_economy": ("fct_events",),
 }
 
+# tables that are a pure projection of their input: cheaper to derive again
+# from the materialised input than to write a second copy of the event log
+PROJECTIONS = {"fct_events"}
+
 # stored table names, per layer (the reference keeps one schema per layer)
 TABLES = {
     "stg_events": "staging",
@@ -166,7 +170,7 @@ class Models:
         root = None
         current = self
         for name in TABLES:
-            if name in wanted and name not in current._stored:
+            if name in wanted and name not in current._stored and name not in PROJECTIONS:
                 if root is None:
                     root = scratch_path(self.spark, "models")
                 path = f"{root}/{name}"
