@@ -34,3 +34,27 @@ def test_functional_append(spark):
     target = IncrementalTable(spark, scratch_path(spark, "functional"))
     res = append_above_high_water(target, m.stg_events)
     assert res.rows == m.stg_events.count() and target.read().count() == res.rows
+
+
+def test_growth_join_reuses_the_user_partitioning(spark):
+    """The spine's one repartition by user serves the window and the join; the
+    dimension side is partitioned by its own aggregate: two exchanges on
+    user_id in total, none added for the join."""
+    import io
+    import re
+    from contextlib import redirect_stdout
+
+    m = Models.from_fixture(spark, SF_SMALL, "o")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            m.growth_accounting.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    text = buf.getvalue()
+    head = text.split("\n\n(1)")[0]
+    assert "SortMergeJoin" in head and "Window" in head
+    by_user = re.findall(r"Arguments: hashpartitioning\(user_id#\d+, \d+\)", text)
+    assert len(by_user) == 2, by_user
