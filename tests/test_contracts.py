@@ -58,3 +58,26 @@ def test_growth_join_reuses_the_user_partitioning(spark):
     assert "SortMergeJoin" in head and "Window" in head
     by_user = re.findall(r"Arguments: hashpartitioning\(user_id#\d+, \d+\)", text)
     assert len(by_user) == 2, by_user
+
+
+def test_spine_and_engagement_plan_shapes(spark):
+    """Spine: all grains from one expansion and one dedup exchange.
+    Engagement: one grouping-sets expansion and two aggregation exchanges."""
+    import io
+    import re
+    from contextlib import redirect_stdout
+
+    def plan(df):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain("formatted")
+        return buf.getvalue()
+
+    m = Models.from_fixture(spark, SF_SMALL, "e")
+    spine = plan(m.activity_spine)
+    assert len(re.findall(r"Scan parquet", spine.split("\n\n(1)")[0])) == 1
+    assert len(re.findall(r"Generate \(\d+\)", spine)) == 1
+    assert len(re.findall(r"Arguments: hashpartitioning\(", spine)) == 1
+    eng = plan(m.engagement)
+    assert len(re.findall(r"Expand \(\d+\)", eng)) == 1
+    assert len(re.findall(r"Arguments: hashpartitioning\(", eng)) == 2
