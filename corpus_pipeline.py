@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept, and returns a DataFrame that is written as Parquet and read back as the
-next stage's docs.
+next stage's docs.  All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -12,21 +12,53 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import contaminated_words
 from tidemark.llm.minhash_dedup import near_duplicates
+from tidemark.llm.mixing import repeated
+from tidemark.llm.token_files import token_files
+from tidemark.llm.toxicity import classified
 from tidemark.session import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones among docs, rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classified(docs, labels).where("predicted = 0").select(*docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: its smallest doc_id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    gone = contaminated_words(docs, items).where("contaminated").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return repeated(docs)
+
+
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix; one row per document, read back from them."""
+    return token_files(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_output", write_token_files),
 ]
 
-#: No stage is expressible in SQL as a whole; tests/llm compare each with brute force.
+#: Fitted scores, cube sampling and the tokenizer are outside SQL, so no SQL
+#: gives run()'s rows; tests/llm hold each stage against brute force.
 ORACLE_SQL = None
 
 

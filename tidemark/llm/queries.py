@@ -5,31 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.minhash_dedup import near_duplicates
+from tidemark.llm import decontaminate, minhash_dedup, mixing, token_files, toxicity
+from tidemark.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (toxicity.classified(_table(spark, sf_dir).select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_words(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(_table(spark, sf_dir))
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_documents(spark, sf_dir))
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "op9_minhash_near_dedup": op9_minhash_near_dedup,
-        "pipeline": _pipeline,
-    }
+    every = (op1_toxicity, op4_benchmark_decontamination, op6_token_files, op9_minhash_near_dedup,
+             op10_source_mixing, pipeline)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
