@@ -15,8 +15,8 @@ counts of all training rows.
 
 Defined results: null and empty texts have no feature and score the
 intercept's chance.  Repeated rows are scored alike.  A doc_id labelled both
-ways counts as toxic.  Without both labels among the training rows the score
-is the training rows' share of label 1 (0 without any).
+ways counts as toxic.  Without both labels among the training rows every
+score is the training rows' share of label 1, at least 1e-6 and at most 1 - 1e-6.
 """
 
 from __future__ import annotations
@@ -35,9 +35,9 @@ from tidemark.llm.store import stored, text_batches, text_input
 
 SIZES = (3, 4, 5)
 SLOT_BITS = 19
-FIT_ROWS = 20_000
+FIT_ROWS = 8_000
 LEAST_CHI2 = 20.0
-MOST_FEATURES = 20_000
+MOST_FEATURES = 3_000
 RIDGE = 1e-3
 STEPS = 300
 
@@ -118,22 +118,28 @@ def _featurised(slots: np.ndarray):
     return run
 
 
-def _fit(ratio: np.ndarray, rows: list[np.ndarray], label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weighted ridge logistic regression by accelerated gradient steps."""
-    sizes = np.array([len(r) for r in rows])
-    cols = np.concatenate(rows).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
+def _fit(ratio: np.ndarray, cols: np.ndarray, sizes: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weighted ridge logistic regression by accelerated gradient steps; cols
+    are the features of all rows, sizes[i] of them of row i."""
+    full = np.flatnonzero(sizes)
+    at = (np.cumsum(sizes) - sizes)[full]
     x = ratio[cols]
+
+    def by_row(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(sizes))
+        if len(full):
+            out[full] = np.add.reduceat(values, at)
+        return out
+
     weight = weight / weight.sum()
     share = float((weight * label).sum())
     w, b = np.zeros(len(ratio)), np.log(share / (1 - share))
-    norm = np.bincount(owner, x * x, len(rows))
-    step = 4.0 / max(1e-9, float((weight * (norm + 1)).sum()) + 4 * RIDGE)
+    step = 4.0 / max(1e-9, float((weight * (by_row(x * x) + 1)).sum()) + 4 * RIDGE)
     vw, vb, t = w.copy(), b, 1.0
     for _ in range(STEPS):
-        z = np.bincount(owner, x * vw[cols], len(rows)) + vb
+        z = by_row(x * vw[cols]) + vb
         g = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - label)
-        nw = vw - step * (np.bincount(cols, x * g[owner], len(ratio)) + RIDGE * vw)
+        nw = vw - step * (np.bincount(cols, x * np.repeat(g, sizes), len(ratio)) + RIDGE * vw)
         nb = vb - step * g.sum()
         nt = (1 + (1 + 4 * t * t) ** 0.5) / 2
         vw, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
@@ -146,6 +152,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def _constant(n0: int, n1: int) -> Model:
+    """The model of a training set without both labels: their share, for every text."""
+    share = min(max(n1 / max(1, n0 + n1), 1e-6), 1 - 1e-6)
+    return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on labelled documents (labels: doc_id, toxic) outside the held-out fifth."""
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
@@ -153,8 +165,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
               .groupBy("doc_id").agg(F.max("label").alias("label")))
     totals = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
-        share = min(max(float(totals.get(1, 0) > 0), 1e-6), 1 - 1e-6)
-        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
+        return _constant(totals.get(0, 0), totals.get(1, 0))
     rate = F.when(F.col("label") == 1, min(1.0, FIT_ROWS / totals[1])).otherwise(min(1.0, FIT_ROWS / totals[0]))
     chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * (1 << 30))
     # at most about 2 * FIT_ROWS ids of 12 bytes
@@ -162,7 +173,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     counts = (sample.repartition(6).mapInArrow(_count, "slot long, n0 long, n1 long")
               .groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     sizes = sample.agg(F.count_if(F.col("label") == 0).alias("t0"), F.count_if(F.col("label") == 1).alias("t1")).first()
-    t0, t1 = max(1, sizes["t0"]), max(1, sizes["t1"])
+    t0, t1 = sizes["t0"], sizes["t1"]
+    if not (t0 and t1):
+        return _constant(t0, t1)
     expected = (F.col("n0") + F.col("n1")) * t1 / (t0 + t1)
     chi2 = F.pow(F.col("n1") - expected, 2) / (expected * (1 - (F.col("n0") + F.col("n1")) / (t0 + t1) + 1e-9) * t0 / (t0 + t1))
     best = (counts.withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
@@ -170,10 +183,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     slots = best["slot"].to_numpy(np.int64)
     n0, n1 = best["n0"].to_numpy(float), best["n1"].to_numpy(float)
     ratio = np.log((n1 + 1) / (t1 + 2)) - np.log((n0 + 1) / (t0 + 2))
-    fit = sample.mapInArrow(_featurised(slots), "label int, features array<int>").toPandas()
-    label = fit["label"].to_numpy(float)
+    fit = sample.mapInArrow(_featurised(slots), "label int, features array<int>").toArrow().combine_chunks()
+    label = fit.column("label").to_numpy().astype(float)
+    lists = fit.column("features").combine_chunks()
+    cols = lists.flatten().to_numpy().astype(np.int64)
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
     weight = np.where(label == 1, totals[1] / t1, totals[0] / t0)
-    w, b = _fit(ratio, [np.asarray(x, np.int64) for x in fit["features"]], label, weight)
+    w, b = _fit(ratio, cols, sizes, label, weight)
     return Model(slots, w * ratio, b)
 
 
