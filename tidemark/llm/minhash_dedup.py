@@ -12,9 +12,8 @@ verification, exact confirmation, and components by alternating stars.
 5. Links go through large-star / small-star.
 6. Buckets that still hold several components may hide a link between two
    members that are both far from the pivot.  Those members alone are compared
-   in blocks on their signatures, and what agrees is confirmed as in 4.  So a
-   bucket of any size is searched whole, with no pair emitted unless its
-   signatures agree.
+   block by block, signatures first, then full sets; only links leave a task.
+   So a bucket of any size is searched whole.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing.  Rows that share a doc_id are one node.  A row
@@ -42,8 +41,8 @@ HASHES = ROWS * BANDS
 #: places (5.5 standard deviations below) are not confirmed.
 PERCENT = 75
 AGREE = 0.54
-#: Members of a block when a bucket of several components is searched whole.
-BLOCK = 256
+#: Members of a block when buckets of several components are searched whole.
+BLOCK = 512
 
 _A = flat.fixed_random(1, HASHES) | np.uint64(1)
 _B = flat.fixed_random(2, HASHES)
@@ -119,23 +118,34 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components, inside one pair of blocks, whose sizes
-    and signatures allow a link."""
-    for group in flat.key_groups(batches, ["key", "i", "j"]):
+    """Links between different components inside one pair of blocks.
+
+    The members nearest to the blocks' most common minima go first; what they
+    join is not compared again."""
+    for group in flat.key_groups(batches, ["cluster", "i", "j"]):
         c = flat.columns_of(group)
-        rep, comp, size, block = (c[x].to_numpy() for x in ("rep", "component", "n_shingles", "block"))
-        i, j = c["i"][0].as_py(), c["j"][0].as_py()
+        rep, size, block = (c[x].to_numpy() for x in ("rep", "n_shingles", "block"))
+        part = np.unique(c["component"].to_numpy(), return_inverse=True)[1]
+        both = block[:, None] != block[None, :] if c["i"][0].as_py() < c["j"][0].as_py() else None
         sig = flat.matrix_of(c["sig"], np.uint32, HASHES)
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found: list[np.ndarray] = []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & (rep[right] != rep[x]) & (100 * np.minimum(size[right], size[x]) >= PERCENT * np.maximum(size[right], size[x]))]
-            y = y[(sig[y] == sig[x]).mean(axis=1) >= AGREE] if len(y) else y
-            if len(y):
-                found.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])]))
+        sets: list[np.ndarray] = []
+        for _, _, data, offs in flat.text_slices(c["text"]):
+            sets += shingle_sets(data, offs)
+        middle = np.array([v[n.argmax()] for v, n in (np.unique(col, return_counts=True) for col in sig.T)])
+        found: list[tuple[int, int]] = []
+        done = np.zeros(len(rep), bool)
+        for x in np.argsort(-(sig == middle).sum(axis=1), kind="stable"):
+            done[x] = True
+            y = ~done & (part != part[x]) & (100 * np.minimum(size, size[x]) >= PERCENT * np.maximum(size, size[x]))
+            y = np.flatnonzero(y if both is None else y & both[x])
+            for z in y[(sig[y] == sig[x]).mean(axis=1) >= AGREE] if len(y) else y:
+                if part[z] != part[x]:
+                    shared = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                    if 100 * shared >= PERCENT * (len(sets[x]) + len(sets[z]) - shared):
+                        found.append((int(rep[x]), int(rep[z])))
+                        part[part == part[z]] = part[x]
         if found:
-            pairs = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
 
 def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -147,6 +157,26 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     return wide.select("a", "b", "sig_a", "sig_b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
+def _searched(rest: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between members of buckets that hold several components.
+
+    Buckets with a common member make one cluster, so that each member's text
+    is sent once per pair of blocks of its cluster and not once per bucket."""
+    cluster = stored(components(rest.select(F.col("pivot").alias("a"), F.col("rep").alias("b"))), "clusters")
+    members = (rest.select("rep", "component").distinct().join(cluster, rest["rep"] == cluster["node"])
+               .select("rep", cluster["component"].alias("cluster"), rest["component"]))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("n")).select(F.col("cluster").alias("c"), blocks.alias("n"))
+    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    dealt = (members.join(sizes, members["cluster"] == sizes["c"]).join(reps, "rep").join(texts, "rep")
+             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+             .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "rep", "component", "n_shingles", "sig", "text"))
+    return (dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "rep")
+            .mapInArrow(_blocks, "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     docs = text_input(docs)
@@ -169,21 +199,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = stored(components(links), "components")
 
     labelled = live.join(found, live["rep"] == found["node"], "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = (labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
-                                         F.count("*").alias("n")).where("x < y").select("key", "n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = (labelled.join(mixed, "key").join(reps, "rep")
-            .withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "rep", "component", "n_shingles", "sig"))
-    late = (rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_blocks, "a long, b long").distinct())
-    late = stored(late, "late-pairs")
-    if not late.isEmpty():
-        links = links.union(stored(_confirmed(late, reps, docs), "late-links"))
-        found = stored(components(links), "components")
+        "key", "pivot", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = (labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+             .where("x < y").select("key"))
+    rest = stored(labelled.join(mixed, "key"), "mixed-buckets")
+    if not rest.isEmpty():
+        late = stored(_searched(rest, reps, docs), "late-links")
+        if not late.isEmpty():
+            found = stored(components(links.union(late)), "components")
 
     label = (first.join(found, first["rep"] == found["node"], "left")
              .select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component")))
