@@ -8,11 +8,14 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from oracle.sql import oracle_sql
+from tidemark.plans.registry import queries
 from tools.compare_oracle import TABLES, _digest, frame_rows
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
-LOAD_KEYS = {"stg_events_incremental", "stg_events_stream", "dim_users_stream"}
+QUERIES = queries()
+SQL = oracle_sql()
+LOAD_KEYS = {"stg_events_incremental", "stg_events_stream", "dim_users_stream", "stored_growth_month", "layered_sql",
+             "stg_events_csv", "stg_events_daily"}
 FAST_KEYS = sorted(k for k in QUERIES if k.removesuffix("_o") not in LOAD_KEYS)
 
 
@@ -45,4 +48,11 @@ def test_matches_oracle(spark, duck, key):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["period_start", "cohort_type", "user_count", "signed_user_count"]
+    assert df.columns == ["period_start", "cohort_type", "user_count", "signed_user_count", "label"]
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_triangle_spans_the_calendar_at_another_scale(spark):
+    """The columns follow from the log's months, whatever offsets have users."""
+    names = [QUERIES["retention_triangle_o"](spark, d).columns for d in (SF_SMALL, "/root/testdata/sf0.01")]
+    assert names[0] == names[1] == ["cohort"] + [f"M+{n}" for n in range(80)]
