@@ -1,6 +1,9 @@
 """High-water-mark loads (P2, ST1-ST5): split loads, ties, empty targets, drift, replay."""
 
 import datetime as dt
+import io
+import os
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +13,10 @@ from tidemark.operators.staging import clean_events
 from tidemark.plans.loads import dim_stream, incremental_replay, stream_replay
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
+from tidemark.sources.raw_events import RAW_COLUMNS, write_raw_csv
+from tidemark.streaming import incremental
 from tidemark.streaming.incremental import IncrementalTable, SchemaDriftError
+from tidemark.streaming.stream import compact_dim_users, dim_users_stream, read_dim_users, stage_events_stream
 
 
 def _stg(spark, rows):
@@ -79,12 +85,86 @@ def test_schema_drift_fails_before_write(spark):
     assert not target.exists()
 
 
-def test_replayed_load_id_is_skipped(spark):
+def test_replayed_batch_is_skipped(spark):
     target = IncrementalTable(spark, scratch_path(spark, "replay"))
     batch = _stg(spark, [ev("2024-01-01 00:00:00", "u1")])
-    assert not target.append(batch, load_id=7).skipped
-    again = target.append(batch, load_id=7)
+    assert not target.append(batch, writer="s", batch_id=7).skipped
+    again = target.append(batch, writer="s", batch_id=7)
     assert again.skipped and again.rows == 1 and target.read().count() == 1
+    later = _stg(spark, [ev("2024-01-02 00:00:00", "u2")])
+    assert target.append(later, writer="other", batch_id=7).rows == 1
+
+
+def _users(target):
+    return sorted(r.user_id for r in target.read().collect())
+
+
+def test_stream_after_batch_load_keeps_both(spark):
+    base = scratch_path(spark, "mixed")
+    target = IncrementalTable(spark, f"{base}/t")
+    target.append(_stg(spark, [ev("2024-01-01 00:00:00", "u1")]))
+    write_raw_csv(raw_frame(spark, [ev("2024-01-09 00:00:00", "u9")]), f"{base}/in")
+    stage_events_stream(spark, f"{base}/in", target, f"{base}/cp").awaitTermination()
+    assert _users(target) == ["u1", "u9"]
+    # a lost checkpoint: the stream begins anew, reads all again, loads what is later
+    write_raw_csv(raw_frame(spark, [ev("2024-02-01 00:00:00", "u10")]), f"{base}/in", "append")
+    stage_events_stream(spark, f"{base}/in", target, f"{base}/cp-new").awaitTermination()
+    assert _users(target) == ["u1", "u10", "u9"]
+    assert len({r.writer for r in target.manifest().collect()}) == 3
+
+
+def test_stream_fails_on_a_bad_row(spark):
+    base = scratch_path(spark, "bad-row").replace("file:", "")
+    os.makedirs(f"{base}/in")
+    with open(f"{base}/in/a.csv", "w") as f:
+        f.write(",".join(RAW_COLUMNS) + "\n2024-01-01 00:00:00,u1,male,like,,abc,web,organic,sg\n")
+    target = IncrementalTable(spark, f"{base}/t")
+    with pytest.raises(Exception):
+        stage_events_stream(spark, f"{base}/in", target, f"{base}/cp").awaitTermination()
+    assert not target.exists()
+
+
+def test_mark_reaches_the_scan(spark, monkeypatch):
+    target = IncrementalTable(spark, scratch_path(spark, "pushed"))
+    target.append(_stg(spark, [ev("2024-01-01 00:00:00", "u1")]))
+    path = scratch_path(spark, "pushed-batch")
+    _stg(spark, [ev("2024-01-02 00:00:00", "u2")]).write.parquet(path)
+    plans = []
+    layout = IncrementalTable._layout
+
+    def seen(self, df):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            layout(self, df).explain("formatted")
+        plans.append(buf.getvalue())
+        return layout(self, df)
+
+    monkeypatch.setattr(IncrementalTable, "_layout", seen)
+    assert target.append(spark.read.parquet(path)).rows == 1
+    assert "GreaterThan(event_time,2024-01-01" in plans[0]
+    assert plans[0].index("Exchange") < plans[0].index("Filter")  # the plan prints from the top
+
+
+def test_manifest_is_compacted(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "COMPACT_EVERY", 2)
+    target = IncrementalTable(spark, scratch_path(spark, "compact"))
+    for day in range(1, 6):
+        target.append(_stg(spark, [ev(f"2024-01-0{day} 00:00:00", f"u{day}")]))
+    assert [n for n in target._names(target.manifest_root) if n.startswith("upto")] == ["upto=00001", "upto=00003"]
+    assert [r.load_id for r in target.manifest().collect()] == [0, 1, 2, 3, 4]
+    read = [f for f in target.manifest().inputFiles()]
+    assert len(read) == 2 and _users(target) == ["u1", "u2", "u3", "u4", "u5"]
+
+
+def test_dimension_folders_are_merged(spark):
+    base = scratch_path(spark, "dim")
+    for i, user in enumerate(("u1", "u2", "u1")):
+        write_raw_csv(raw_frame(spark, [ev(f"2024-01-0{i + 1} 00:00:00", user)]), f"{base}/in", "append")
+        dim_users_stream(spark, f"{base}/in", f"{base}/t", f"{base}/cp").awaitTermination()
+        if i == 1:
+            compact_dim_users(spark, f"{base}/t")
+    got = {r.user_id: (r.first_seen_at.day, r.last_seen_at.day) for r in read_dim_users(spark, f"{base}/t").collect()}
+    assert got == {"u1": (1, 3), "u2": (2, 2)}
 
 
 def test_uncommitted_load_folder_is_ignored(spark):

@@ -11,10 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.serving import growth_month
 from tidemark.operators.staging import clean_events
+from tidemark.plans.build import build_all, register_tables
+from tidemark.plans.models import Models
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
-from tidemark.sources.raw_events import CSV_TEXT_OPTIONS, RAW_COLUMNS
+from tidemark.sources.raw_events import read_raw_csv, read_raw_daily, write_raw_csv, write_raw_daily
 from tidemark.streaming.incremental import IncrementalTable
 from tidemark.streaming.stream import dim_users_stream, read_dim_users, stage_events_stream
 
@@ -46,12 +49,48 @@ def _stage_deliveries(spark: SparkSession, sf_dir: str, fixture: str, source_dir
     typed = F.col("event_time").cast("timestamp")
     cut = split_micros(raw.where(F.col("event_time").isNotNull()).select(typed.alias("event_time")))
     early = F.unix_micros(typed) <= F.lit(cut)
-    # raw text must survive the CSV round trip: the key hashes it verbatim
-    def deliver(rows: DataFrame) -> None:
-        rows.select(*RAW_COLUMNS).write.mode("append").options(**CSV_TEXT_OPTIONS).csv(source_dir)
+    return (lambda: write_raw_csv(raw.where(early | F.col("event_time").isNull()), source_dir, "append"),
+            lambda: write_raw_csv(raw.where(~early), source_dir, "append"))
 
-    return (lambda: deliver(raw.where(early | F.col("event_time").isNull())),
-            lambda: deliver(raw.where(~early)))
+
+def csv_scan(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
+    """The whole log written as CSV, scanned by the batch reader and cleaned."""
+    path = scratch_path(spark, f"raw_csv_{fixture}")
+    write_raw_csv(raw_events(spark, sf_dir, fixture), path)
+    return clean_events(read_raw_csv(spark, path, file_name=None))
+
+
+def daily_scan(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
+    """The whole log laid out by day; the days from the middle one on are scanned."""
+    raw = raw_events(spark, sf_dir, fixture)
+    root = scratch_path(spark, f"raw_daily_{fixture}")
+    write_raw_daily(raw.where(F.col("event_time").isNotNull()), root)
+    day = F.col("event_time").cast("date")
+    middle = raw.agg(F.date_add(F.min(day), F.floor(F.datediff(F.max(day), F.min(day)) / 2).cast("int")).alias("d")).first().d
+    return clean_events(read_raw_daily(spark, root, date_from=str(middle)))
+
+
+def stored_growth(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
+    """Every table built and stored, then one report served from the stored tables."""
+    root = scratch_path(spark, f"build_{fixture}")
+    build_all(spark, raw_events(spark, sf_dir, fixture), root, check=False)
+    return growth_month(Models.from_tables(spark, root).growth_accounting)
+
+
+def layered_sql(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
+    """SQL over the stored layers: each cohort's users and share still active
+    after three months, next to the month's net growth."""
+    root = scratch_path(spark, f"layers_{fixture}")
+    build_all(spark, raw_events(spark, sf_dir, fixture), root, check=False)
+    prefix = f"layers_{root.rsplit('-', 1)[1]}"
+    register_tables(spark, root, prefix)
+    return spark.sql(f"""
+        SELECT n.period_start, n.net_growth, n.new_users,
+               coalesce(max(r.cohort_size), 0) AS cohort_size,
+               max(CASE WHEN r.months_since_first = 3 THEN r.retention_pct END) AS pct_after_3
+        FROM {prefix}_reports.rpt_net_growth n
+        LEFT JOIN {prefix}_reports.rpt_cohort_retention r ON r.cohort_month = n.period_start
+        GROUP BY n.period_start, n.net_growth, n.new_users""")
 
 
 def stream_replay(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:

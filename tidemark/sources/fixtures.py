@@ -7,6 +7,10 @@ columns are derived from the given tables (mapping fixed in FIXTURES.md §2):
   dropped rows (null platform), case and blank noise, first-event choice.
 * ``O`` from ``orders`` joined to ``customer``: 80 months; every cohort label
   at every grain, duplicate event keys, first-day ties.
+* ``B`` from ``events``: E spread over three months, with faults of every kind
+  that passes cleaning (nulls, values outside the lists, negative amounts,
+  rows that come twice); ``faulty_tables`` adds those that cleaning or the
+  models cannot produce.
 
 The same expressions are written in DuckDB SQL in ``oracle/sql.py``.
 """
@@ -76,27 +80,17 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def fan_out(df: DataFrame) -> DataFrame:
-    """Spread a fact-table scan that yields fewer splits than the session has cores.
-
-    A file written as one row group is one split, so every per-row step
-    above it (text formatting, casts, hashing) would run in one task.  Below
-    the default parallelism the scan is round-robin repartitioned to it; an
-    input at scale already has far more splits than cores and is left as it
-    is, so there this adds no shuffle.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+def raw_events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mapped(_read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")).drop("n")
 
 
-def raw_events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = fan_out(_read(spark, sf_dir, "events")).select("event_id", "ts", "user_id", "event_type", "value")
+def _mapped(ev: DataFrame) -> DataFrame:
+    """The raw columns of rows of ``events``, and their event number ``n``."""
     kind, eid, uid = F.col("event_type"), F.col("event_id"), F.col("user_id")
     earned, redeemed = kind == "view", kind == "purchase"
     category = F.concat(F.lit(" Cat_"), (eid % 7).cast("string"))
     return ev.select(
+        eid.alias("n"),
         F.date_format("ts", TIME_TEXT_FORMAT).alias("event_time"),
         F.concat(F.lit(" u_"), F.format_string("%04d", uid)).alias("user_id"),
         _pick(GENDER_BY_MOD4, uid % 4).alias("gender"),
@@ -110,8 +104,58 @@ def raw_events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_events_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spread = F.expr("ts + make_ym_interval(0, int(event_id % 3))")
+    rows = _mapped(_read(spark, sf_dir, "events").withColumn("ts", spread))
+    n = F.col("n")
+
+    def every(k: int, value, column: str) -> Column:
+        return F.when(n % k == 0, value).otherwise(F.col(column))
+
+    faulty = rows.select(
+        "n", "event_time", "user_id", "transaction_category",
+        F.when(n % 53 == 0, F.lit(None)).when(n % 59 == 0, "Unknown").otherwise(F.col("gender")).alias("gender"),
+        every(61, F.lit("Teleport"), "event_type").alias("event_type"),
+        every(83, -F.col("miles_amount"), "miles_amount").alias("miles_amount"),
+        every(67, F.lit("fridge"), "platform").alias("platform"),
+        F.when(n % 71 == 0, F.lit(None)).when(n % 73 == 0, "pigeon").otherwise(F.col("utm_source")).alias("utm_source"),
+        every(79, F.lit("xx"), "country").alias("country"))
+    times = F.when(n % 89 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return faulty.withColumn("time", F.explode(times))
+
+
+def faulty_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of a build with faults that cleaning and the models cannot
+    produce: users missing from the dimension, a next period that is the
+    period itself, and totals that do not add up."""
+    number = F.regexp_extract("user_id", "[0-9]+", 0).cast("int")
+    grain, label = F.col("period_grain"), F.col("cohort_type")
+    offset = F.col("months_since_first")
+
+    def changed(name: str, **columns: Column) -> DataFrame:
+        return tables[name].withColumns(columns)
+
+    return {
+        **tables,
+        "dim_users": tables["dim_users"].where(number % 10 != 3),
+        "int_user_activity_periods": changed("int_user_activity_periods", next_period_start=F.when(
+            number % 7 == 2, F.col("period_start")).otherwise(F.col("next_period_start"))),
+        "rpt_growth_accounting": changed("rpt_growth_accounting", user_count=F.col("user_count") + F.when(
+            (grain == "month") & (label == "retained") & (F.col("country") == "SG"), 1).otherwise(0)),
+        "rpt_net_growth": changed("rpt_net_growth", net_growth=F.col("net_growth") + 1),
+        "rpt_cohort_retention": changed(
+            "rpt_cohort_retention",
+            retained_users=F.when(offset == 2, 0).otherwise(F.col("retained_users")),
+            retention_pct=F.when(offset == 0, F.col("retention_pct") - 0.5).otherwise(F.col("retention_pct"))),
+        "rpt_engagement": changed("rpt_engagement", active_users=F.col("active_users") + F.when(
+            F.col("event_type") == "all", 1).otherwise(0)),
+        "rpt_miles_economy": changed("rpt_miles_economy", total_miles=F.when(
+            F.col("transactions") % 2 == 0, -F.col("total_miles")).otherwise(F.col("total_miles"))),
+    }
+
+
 def raw_events_o(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = fan_out(_read(spark, sf_dir, "orders")).select(
+    orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # Plain equi-join: Catalyst broadcasts the customer side only when its
@@ -136,5 +180,5 @@ def raw_events_o(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
-    df = {"e": raw_events_e, "o": raw_events_o}[fixture](spark, sf_dir)
+    df = {"e": raw_events_e, "o": raw_events_o, "b": raw_events_b}[fixture](spark, sf_dir)
     return df.select(*RAW_COLUMNS)

@@ -16,6 +16,7 @@ Storage layout (all below ``path``)::
 
     data/load_id=00000/event_month=2024-01-01/part-*.parquet
     _manifest/load=00000/part-*.parquet        (one row per committed load)
+    _manifest/upto=00063/part-*.parquet        (all loads so far, in one file)
 
 Inside a load, files are partitioned by month of ``event_date`` (or by day,
 ``partition_grain="day"``) and sorted by time, so a time-range read prunes
@@ -25,9 +26,16 @@ folders for the 80-month order log, measured 60 s against 3.5 s by month.
 
 The manifest row is written after the load's data commit, so a load that
 died half-way has no manifest row: readers ignore its folder and a retry of
-the same load id overwrites it.  The mark is the maximum over manifest rows,
-so no data file is re-read to find it, and the filter against it is a plain
-literal comparison that Parquet / CSV scans can push down.
+the same load id overwrites it.  Every ``COMPACT_EVERY`` loads the manifest is
+written again as one file; a reader opens the newest such file and the rows
+after it.  The mark is the maximum over manifest rows, so no data file is
+re-read to find it, and the filter against it is a plain literal comparison
+at the scan, before anything is shuffled: a rerun over the whole history reads
+the statistics of its files and writes nothing.
+
+Load ids are given out by the table.  A writer that replays (a stream) names
+itself and its batch; the manifest keeps both, and only the same writer's same
+batch counts as loaded before.
 """
 
 from __future__ import annotations
@@ -35,7 +43,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +56,12 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType(), False),
     T.StructField("late_rows", T.LongType(), False),
     T.StructField("loaded_at", T.TimestampType(), False),
+    T.StructField("writer", T.StringType(), True),
+    T.StructField("batch_id", T.LongType(), True),
 ])
 
+COMPACT_EVERY = 64
+
 
 class SchemaDriftError(ValueError):
     """The batch's columns or types differ from the target's."""
@@ -104,14 +116,14 @@ class IncrementalTable:
         by partition and time in ``append``).
 
         The rebalance gives one writer per partition value instead of one
-        file per value per task; AQE splits a value that holds a large share
-        of the rows and merges small ones.  If AQE prunes an empty stage
-        together with the observed metrics, ``append`` recounts.
+        file per value per task; a value that holds a large share of the rows
+        is dealt to several writers by a second key, its time.
         """
         if self.partition_grain == "month":
             df = df.withColumn("event_month", F.trunc(F.col(self.date_col), "month"))
         if self.partition_col:
-            return df.hint("rebalance", self.partition_col)
+            spread = (F.unix_seconds(F.col(self.time_col)) % 8).alias("spread")
+            return df.withColumn("spread", spread).hint("rebalance", self.partition_col, "spread").drop("spread")
         return df
 
     # ------------------------------------------------------------------ paths
@@ -133,18 +145,32 @@ class IncrementalTable:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf).exists(p)
 
+    def _names(self, path: str) -> list[str]:
+        """Names of the folders below path."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
     def manifest(self) -> DataFrame:
         """Committed loads, one row each in load order (an empty frame when none)."""
-        if not self._fs_exists(self.manifest_root):
+        names = self._names(self.manifest_root)
+        upto = max((n for n in names if n.startswith("upto=")), default=None)
+        last = int(upto.split("=")[1]) if upto else -1
+        names = [n for n in names if n.startswith("load=") and int(n.split("=")[1]) > last] + ([upto] if upto else [])
+        if not names:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return (self.spark.read.parquet(self.manifest_root)
+        return (self.spark.read.schema(MANIFEST_SCHEMA).parquet(*[f"{self.manifest_root}/{n}" for n in names])
                 .select(*MANIFEST_SCHEMA.fieldNames()).orderBy("load_id"))
 
-    def _commit(self, load_id: int, max_t, min_t, rows: int, late_rows: int) -> None:
+    def _commit(self, load_id: int, max_t, min_t, rows: int, late_rows: int, writer: str | None, batch_id: int | None) -> None:
         """Write the load's manifest row; only after this is the load visible."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        (self.spark.createDataFrame([(load_id, max_t, min_t, rows, late_rows, now)], MANIFEST_SCHEMA)
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.manifest_root}/load={load_id:05d}"))
+        row = (load_id, max_t, min_t, rows, late_rows, now, writer, batch_id)
+        (self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.manifest_root}/load={load_id:05d}"))
+        if load_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            self.manifest().coalesce(1).write.mode("overwrite").parquet(f"{self.manifest_root}/upto={load_id:05d}")
 
     def _committed(self) -> list:
         # one small row per load: the list of loads is metadata, bounded by
@@ -192,22 +218,24 @@ class IncrementalTable:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
     # ----------------------------------------------------------------- append
-    def append(self, batch: DataFrame, on_empty: str = "full", load_id: int | None = None) -> LoadResult:
+    def append(self, batch: DataFrame, on_empty: str = "full", writer: str | None = None,
+               batch_id: int | None = None) -> LoadResult:
         """Add the batch's rows later than the current mark as one new load.
 
-        ``load_id`` may be given by a caller that replays (a stream's batch
-        id): a load id already in the manifest is skipped, so a replay never
-        loads twice and never rewrites committed data.
+        A caller that replays gives its name and batch id: a batch of that
+        writer already in the manifest is skipped, so a replay never loads
+        twice.  Any other writer's batches, and batch loads, are new loads.
         """
         if on_empty not in ("full", "strict"):
             raise ValueError("on_empty must be 'full' or 'strict'")
+        if (writer is None) != (batch_id is None):
+            raise ValueError("writer and batch_id come together")
         assert_same_schema(batch, self.schema)
         committed = self._committed()
-        if load_id is not None:
-            for r in committed:
-                if r.load_id == load_id:
-                    return LoadResult(load_id, r.rows, r.late_rows, r.max_event_time, skipped=True)
-        next_id = load_id if load_id is not None else (max((r.load_id for r in committed), default=-1) + 1)
+        for r in committed:
+            if writer is not None and (r.writer, r.batch_id) == (writer, batch_id):
+                return LoadResult(r.load_id, r.rows, r.late_rows, r.max_event_time, skipped=True)
+        load_id = max((r.load_id for r in committed), default=-1) + 1
         marks = [r.max_event_time for r in committed if r.max_event_time is not None]
         mark = max(marks) if marks else None
 
@@ -216,36 +244,20 @@ class IncrementalTable:
             # the reference compares with a null maximum: no row ever loads
             rows, late_rows, max_t, min_t = 0, batch.count(), None, None
         else:
-            keep = t > F.lit(mark) if mark is not None else None
-            late_when = (t <= F.lit(mark)) if mark is not None else F.lit(False)
-            late = F.count(F.when(late_when, F.lit(1)))
-            late_obs, load_obs = Observation(), Observation()
-            # both observations sit in the write's result stage, after the
-            # layout shuffle: result-stage metrics count each partition once
-            # even when a lost executor makes Spark re-run map stages
-            laid_out = self._layout(batch)
-            observed = laid_out.observe(late_obs, late.cast("long").alias("late_rows"))
-            to_write = observed if keep is None else observed.where(keep)
-            to_write = to_write.observe(load_obs, F.count(F.lit(1)).alias("rows"),
-                                        F.max(t).alias("max_t"), F.min(t).alias("min_t"))
+            later = batch if mark is None else batch.where(t > F.lit(mark))
             order = [self.partition_col, self.time_col] if self.partition_col else [self.time_col]
-            writer = to_write.sortWithinPartitions(*order).write.mode("overwrite")
+            out = self._layout(later).sortWithinPartitions(*order).write.mode("overwrite")
             if self.partition_col:
-                writer = writer.partitionBy(self.partition_col)
-            writer.parquet(self._load_dir(next_id))
-            try:
-                load_m, late_m = load_obs.get, late_obs.get
-                rows = int(load_m["rows"] or 0)
-                late_rows = int(late_m["late_rows"] or 0)
-                max_t, min_t = load_m["max_t"], load_m["min_t"]
-            except Exception:  # metrics pruned from the executed plan: recount
-                written = self._read_loads([next_id])
-                stats = written.agg(F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"),
-                                    F.min(t).alias("min_t")).first()
-                rows, max_t, min_t = int(stats.rows), stats.max_t, stats.min_t
-                late_rows = count_late(batch, mark, self.time_col)
-        self._commit(next_id, max_t, min_t, rows, late_rows)
-        return LoadResult(next_id, rows, late_rows, max_t)
+                out = out.partitionBy(self.partition_col)
+            out.parquet(self._load_dir(load_id))
+            # one narrow column of what was written, and one of the batch: exact
+            # however often Spark had to repeat a stage of the write
+            stats = self._read_loads([load_id]).agg(
+                F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"), F.min(t).alias("min_t")).first()
+            rows, max_t, min_t = int(stats.rows), stats.max_t, stats.min_t
+            late_rows = count_late(batch, mark, self.time_col)
+        self._commit(load_id, max_t, min_t, rows, late_rows, writer, batch_id)
+        return LoadResult(load_id, rows, late_rows, max_t)
 
 
 def append_above_high_water(target: IncrementalTable, batch: DataFrame, on_empty: str = "full") -> LoadResult:

@@ -2,8 +2,10 @@
 
 * ``stage_events_stream``: a file source over raw CSV deliveries, each
   micro-batch cleaned and appended by high-water mark inside
-  ``foreachBatch``.  The batch id is the load id: a micro-batch replayed after
-  a failure finds its id committed and is skipped, so the sink is idempotent.
+  ``foreachBatch``.  The load carries the stream's id (kept in its checkpoint)
+  and the batch id: a micro-batch replayed after a failure finds both in the
+  manifest and is skipped.  Batch loads, other streams, and a stream begun
+  anew with an empty checkpoint have other ids, so none of theirs is skipped.
   ``maxFilesPerTrigger`` stays unset: one delivery is one micro-batch, which
   is what makes "late" mean the same as in a batch load.
 * ``dim_users_stream``: the dimension's one aggregate (min of the
@@ -12,7 +14,9 @@
   batch id (overwritten on replay, so idempotent).  Because the aggregate is
   a min / max, ``read_dim_users`` merges the folders with the same
   aggregate; no trigger rewrites the whole dimension, and the state store
-  (one row per user) is spread over the executors.
+  (one row per user) is spread over the executors.  ``compact_dim_users``
+  merges the folders so far into one; a reader opens the newest merged folder
+  and the batches after it.
 
 ``withWatermark`` is deliberately not used for ST5: its cut-off rule is not
 "strictly above the stored maximum".
@@ -20,19 +24,21 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.marts import dim_from_state, first_and_last, merge_first_and_last
 from tidemark.operators.staging import clean_events
-from tidemark.sources.raw_events import RAW_SCHEMA
+from tidemark.sources.raw_events import read_raw_stream
 from tidemark.streaming.incremental import IncrementalTable
 
 
-def raw_event_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    return (spark.readStream.schema(RAW_SCHEMA)
-            .option("header", True)
-            .csv(source_dir))
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a stream's checkpoint: the same after a restart,
+    another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def stage_events_stream(spark: SparkSession, source_dir: str, target: IncrementalTable,
@@ -40,9 +46,9 @@ def stage_events_stream(spark: SparkSession, source_dir: str, target: Incrementa
     """Start an available-now stream loading every new delivery into ``target``."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        target.append(clean_events(batch), on_empty=on_empty, load_id=batch_id)
+        target.append(clean_events(batch), on_empty=on_empty, writer=stream_id(spark, checkpoint), batch_id=batch_id)
 
-    return (raw_event_stream(spark, source_dir).writeStream
+    return (read_raw_stream(spark, source_dir).writeStream
             .foreachBatch(load)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
@@ -56,7 +62,7 @@ def dim_users_stream(spark: SparkSession, source_dir: str, table_path: str,
     def publish(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id:06d}")
 
-    state = first_and_last(clean_events(raw_event_stream(spark, source_dir)))
+    state = first_and_last(clean_events(read_raw_stream(spark, source_dir)))
     return (state.writeStream.outputMode("update")
             .foreachBatch(publish)
             .option("checkpointLocation", checkpoint)
@@ -64,7 +70,26 @@ def dim_users_stream(spark: SparkSession, source_dir: str, table_path: str,
             .start())
 
 
+def _dim_folders(spark: SparkSession, table_path: str) -> list[str]:
+    """The newest merged folder and the batches after it."""
+    names = IncrementalTable(spark, table_path)._names(table_path)
+    merged = max((n for n in names if n.startswith("merged=")), default=None)
+    last = int(merged.split("=")[1]) if merged else -1
+    later = [n for n in names if n.startswith("batch=") and int(n.split("=")[1]) > last]
+    return [f"{table_path}/{n}" for n in ([merged] if merged else []) + later]
+
+
+def _dim_state(spark: SparkSession, table_path: str) -> DataFrame:
+    updates = spark.read.parquet(*_dim_folders(spark, table_path)).select("user_id", "first", "last_seen_at")
+    return merge_first_and_last(updates)
+
+
+def compact_dim_users(spark: SparkSession, table_path: str) -> None:
+    """Merge all batches so far into one folder; run it between triggers."""
+    last = _dim_folders(spark, table_path)[-1].rsplit("=", 1)[1]
+    _dim_state(spark, table_path).write.mode("overwrite").parquet(f"{table_path}/merged={last}")
+
+
 def read_dim_users(spark: SparkSession, table_path: str) -> DataFrame:
     """The dimension as of the last committed trigger: merge of all updates."""
-    updates = spark.read.parquet(table_path).select("user_id", "first", "last_seen_at")
-    return dim_from_state(merge_first_and_last(updates))
+    return dim_from_state(_dim_state(spark, table_path))
