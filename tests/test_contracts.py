@@ -60,6 +60,25 @@ def test_growth_join_reuses_the_user_partitioning(spark):
     assert len(by_user) == 2, by_user
 
 
+def test_reports_of_one_grain_build_no_other(spark):
+    """No expansion of events to grains below a report that reads one; the
+    retention report scans the two tables of its log at most twice each."""
+    import io
+    import re
+    from contextlib import redirect_stdout
+
+    from tidemark.plans.registry import queries
+
+    for key in ("growth_month_o", "growth_week_o", "net_growth_o", "cohort_retention_o"):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            queries()[key](spark, SF_SMALL).explain("formatted")
+        text = buf.getvalue()
+        assert "week" not in text or key == "growth_week_o", key
+        assert not re.search(r"inline\(array\(.*(day|week|month).*(day|week|month)", text), key
+        assert len(re.findall(r"Scan parquet", text.split("\n\n(1)")[0])) <= 4, key
+
+
 def test_spine_and_engagement_plan_shapes(spark):
     """Spine: all grains from one expansion and one dedup exchange.
     Engagement: one grouping-sets expansion and two aggregation exchanges."""

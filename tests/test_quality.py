@@ -62,6 +62,50 @@ def test_mutations_are_caught(spark):
     assert failing == {"dq_retention_m0": 1}
 
 
+def _some(condition, column, by=1):
+    return F.when(condition, F.col(column) + by).otherwise(F.col(column))
+
+
+def test_invariants_over_two_tables_catch_mutations(spark):
+    every = F.lit(True)
+    failing = _mutated(spark, "rpt_cohort_retention", lambda df: df.withColumn("cohort_size", _some(every, "cohort_size", 5)))
+    assert failing == {"dq_cohort_size": 1}
+
+    failing = _mutated(spark, "rpt_engagement", lambda df: df.withColumn(
+        "active_users", _some(F.col("event_type") == "all", "active_users")))
+    assert failing == {"dq_engagement_active": 1}
+
+    failing = _mutated(spark, "rpt_growth_accounting", lambda df: df.withColumn("user_count", _some(
+        (F.col("period_grain") == "month") & (F.col("cohort_type") == "new"), "user_count")))
+    assert failing == {"dq_growth_active": 1}
+
+    tables = Models.from_fixture(spark, SF_SMALL, "e").tables()
+    spine = tables["int_user_activity_periods"].withColumn("next_period_start", F.col("period_start"))
+    twice = quality.singular_failures("dq_no_double_count", {**tables, "int_user_activity_periods": spine})
+    assert twice.count() == spine.count() and {r.cohort_count for r in twice.collect()} == {2}
+
+
+def test_every_check_key_finds_the_faulty_log_s_faults(spark):
+    from tidemark.plans.registry import CHECK_QUERIES, queries
+    qs = queries()
+    for key in CHECK_QUERIES:
+        rows = qs[f"{key}_b"](spark, SF_SMALL).collect()
+        assert any(r.failing_rows for r in rows) if "failing_rows" in rows[0] else rows, key
+
+
+def test_checks_of_a_log_share_one_build_and_scratch_is_removed(spark):
+    import os
+
+    from tidemark.plans import registry
+    from tidemark.session import clear_scratch, ensure_checkpoint_dir
+    first = registry._build(spark, SF_SMALL, "e")
+    assert registry._build(spark, SF_SMALL, "e") is first
+    root = os.path.join(ensure_checkpoint_dir(spark), "tidemark").replace("file:", "")
+    assert os.listdir(root)
+    assert clear_scratch(spark) > 0 and not [n for n in os.listdir(root) if not n.startswith(".")]
+    assert registry._build(spark, SF_SMALL, "e") is not first
+
+
 def test_duplicate_event_keys_found_on_order_stream(spark):
     tables = Models.from_fixture(spark, "/root/testdata/sf0.01", "o").tables()
     dups = quality.unique_failures(tables).where(F.col("table_name") == "stg_events")

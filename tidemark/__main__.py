@@ -62,7 +62,6 @@ def _parser() -> argparse.ArgumentParser:
     q = sub.add_parser("sql", help="run SQL over the stored layers (main_reports.*, main_marts.*, ...)")
     q.add_argument("--out", required=True)
     q.add_argument("statement")
-    q.add_argument("--limit", type=int, default=100, help="rows to print")
     return p
 
 
@@ -82,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "sql":
         register_tables(spark, args.out)
-        spark.sql(args.statement).show(args.limit, truncate=False)
+        _print_all(spark.sql(args.statement))
         return 0
     models = Models.from_tables(spark, args.out)
     if args.cmd == "check":
@@ -90,13 +89,20 @@ def main(argv: list[str] | None = None) -> int:
     for name in args.queries:
         df = SERVING[name](models)
         if args.csv:
-            df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{args.csv}/{name}")
+            df.write.mode("overwrite").option("header", True).csv(f"{args.csv}/{name}")
         else:
             print(f"== {name}")
-            df.show(50, truncate=False)
+            _print_all(df)
     return 0
 
 
+def _print_all(df) -> None:
+    """Every row, tab-separated, streamed a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def _report(checks) -> int:
     failing = checks.where("failing_rows > 0").orderBy("check_id").collect()
     total = checks.count()

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money totals are accumulated exactly: a sum of doubles depends on the order
-# in which partitions meet, so two runs (or two engines) can differ in the last
-# bits.  Summing as a decimal and casting back gives the correctly rounded
-# total of the inputs (exact for inputs with at most 6 decimals).
-EXACT_SUM_TYPE = "decimal(38,6)"
-
 
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,11 +21,6 @@ def round_half_away(c: str | Column, digits: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def exact_sum(c: str | Column) -> Column:
-    """Order-independent sum of a double column, returned as a double."""
-    return F.sum(col_(c).cast(EXACT_SUM_TYPE)).cast("double")
-
-
 def md5_key(*parts: str | Column, sep: str = "|") -> Column:
     """md5 of the parts joined by ``sep``, a null part counted as empty text.
 
@@ -57,6 +46,11 @@ def months_apart(later: str | Column, earlier: str | Column) -> Column:
     return ((F.year(a) - F.year(b)) * 12 + (F.month(a) - F.month(b))).cast("long")
 
 
+def capitalised(c: str | Column) -> Column:
+    """``resurrected`` -> ``Resurrected`` (legend label of the cohort charts)."""
+    return F.initcap(col_(c))
+
+
 def titled_label(c: str | Column) -> Column:
     """``miles_earned`` -> ``Miles Earned`` (chart labels of the serving queries)."""
     return F.initcap(F.regexp_replace(col_(c), "_", " "))

@@ -40,9 +40,9 @@ def windowed(spine: DataFrame, prepartitioned: bool = False) -> DataFrame:
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return by_user.select(
         "user_id", "period_grain", "period_start", "prior_period_start", "next_period_start",
-        F.lag("period_start").over(w).alias("lag_period_start"),
-        F.lead("period_start").over(w).alias("lead_period_start"),
-        F.min("period_start").over(whole).alias("first_period_start"),
+        F.lag("period_start").over(w).alias("active_before"),
+        F.lead("period_start").over(w).alias("active_after"),
+        F.min("period_start").over(whole).alias("first_active"),
     )
 
 
@@ -50,10 +50,10 @@ def classify(spine: DataFrame, prepartitioned: bool = False) -> DataFrame:
     """(user_id, period_grain, period_start, cohort_type): one label per user and period."""
     win = windowed(spine, prepartitioned)
     start = F.col("period_start")
-    active = (F.when(start == F.col("first_period_start"), F.lit("new"))
-               .when(F.col("lag_period_start") == F.col("prior_period_start"), F.lit("retained"))
+    active = (F.when(start == F.col("first_active"), F.lit("new"))
+               .when(F.col("active_before") == F.col("prior_period_start"), F.lit("retained"))
                .otherwise(F.lit("resurrected")))
-    lead, nxt = F.col("lead_period_start"), F.col("next_period_start")
+    lead, nxt = F.col("active_after"), F.col("next_period_start")
     churns = lead.isNull() | (lead != nxt)
     rows = F.array_compact(F.array(
         F.struct(start.alias("period_start"), active.alias("cohort_type")),

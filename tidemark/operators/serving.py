@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import titled_label
+from tidemark.functions.columns import capitalised, months_apart, titled_label
 
 SUMMARY_LABEL = "all"
 
@@ -22,7 +22,8 @@ def growth_by_grain(ga: DataFrame, grain: str) -> DataFrame:
            .groupBy("period_start", "cohort_type")
            .agg(users.alias("user_count")))
     signed = F.when(F.col("cohort_type") == "churned", -F.col("user_count")).otherwise(F.col("user_count"))
-    return (out.select("period_start", "cohort_type", "user_count", signed.alias("signed_user_count"))
+    return (out.select("period_start", "cohort_type", "user_count", signed.alias("signed_user_count"),
+                       capitalised("cohort_type").alias("label"))
             .orderBy("period_start", "cohort_type"))
 
 
@@ -46,12 +47,18 @@ def retention_long(ret: DataFrame) -> DataFrame:
 def retention_triangle(ret: DataFrame) -> DataFrame:
     """Cohort (``yyyy-MM``) x ``M+n`` matrix of retention percentages.
 
-    The pivot columns are the offsets present in the data.  They are
-    bounded by the number of months the data spans, so the list is fetched
-    first (one small aggregate) and given explicitly to ``pivot``.
+    The pivot columns are M+0 to the number of calendar months between the
+    first cohort and the last active month, so they follow from the log's span
+    alone and not from which offsets happen to have a user.  An offset before
+    M+0 (an activity dated before the first event) raises.
     """
-    offsets = [r[0] for r in ret.select("months_since_first").distinct()
-               .orderBy("months_since_first").collect()]
+    span = ret.agg(
+        F.max(months_apart(F.expr("add_months(cohort_month, int(months_since_first))"), F.lit("1970-01-01"))).alias("last"),
+        F.min(months_apart("cohort_month", F.lit("1970-01-01"))).alias("first"),
+        F.min("months_since_first").alias("least")).first()
+    offsets = range(span["last"] - span["first"] + 1) if span["last"] is not None else range(0)
+    if span["least"] is not None and span["least"] < 0:
+        raise ValueError(f"retention offset {span['least']} lies before the cohort's first month")
     labelled = ret.select(
         F.date_format("cohort_month", "yyyy-MM").alias("cohort"),
         F.concat(F.lit("M+"), F.col("months_since_first").cast("string")).alias("offset"),
@@ -73,7 +80,7 @@ def event_mix(eng: DataFrame) -> DataFrame:
 
 def event_types(eng: DataFrame) -> DataFrame:
     """Distinct event types of the per-type engagement rows (one chart series each)."""
-    return event_mix(eng).select("event_type").distinct().orderBy("event_type")
+    return eng.where(F.col("event_type") != SUMMARY_LABEL).select("event_type").distinct().orderBy("event_type")
 
 
 def users_by(dim: DataFrame, column: str, alias: str | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """P5 ``activity_spine``: distinct (user, grain, period) with prior / next period start.
 
-All grains come from one scan: each (user, date) row is expanded by ``inline``
+A report of one grain asks for that grain alone.  All grains come from one scan: each (user, date) row is expanded by ``inline``
 into one row per grain and de-duplicated by one aggregate, whose partial
 (map-side) step removes the events-per-period repetition before the shuffle.
 A hot user cannot skew the result: after dedup it owns at most one row per
@@ -12,13 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.periods import DEFAULT_GRAINS, next_start, period_structs, prior_start
+from tidemark.functions.periods import DEFAULT_GRAINS, GRAINS, next_start, period_structs, prior_start
 
 SPINE_COLUMNS = ("user_id", "period_grain", "period_start", "prior_period_start", "next_period_start")
 
 
 def activity_spine(fct: DataFrame, grains=DEFAULT_GRAINS) -> DataFrame:
-    periods = fct.select("user_id", F.inline(period_structs(F.col("event_date"), grains)))
+    if len(grains) == 1:  # nothing to expand
+        periods = fct.select("user_id", F.lit(grains[0]).alias("period_grain"),
+                             GRAINS[grains[0]].start(F.col("event_date")).alias("period_start"))
+    else:
+        periods = fct.select("user_id", F.inline(period_structs(F.col("event_date"), grains)))
     distinct = periods.distinct()
     grain, start = F.col("period_grain"), F.col("period_start")
     return distinct.select(

@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.periods import DEFAULT_GRAINS
 from tidemark.operators.engagement import engagement
 from tidemark.operators.growth import classify, growth_accounting, net_growth
 from tidemark.operators.marts import build_dim_users, build_fct_events
@@ -65,9 +66,16 @@ def stg_table(spark: SparkSession, root: str) -> IncrementalTable:
 class Models:
     """Lazily built models over one raw event log (or over stored tables)."""
 
-    def __init__(self, raw: DataFrame | None = None, stored: dict[str, DataFrame] | None = None):
+    def __init__(self, raw: DataFrame | None = None, stored: dict[str, DataFrame] | None = None,
+                 grains: tuple[str, ...] = DEFAULT_GRAINS):
         self._raw = raw
         self._stored = stored or {}
+        self._grains = grains
+
+    def only(self, *grains: str) -> "Models":
+        """The same graph with a spine of these grains alone, for a report that
+        reads no other (stored tables hold all grains and stay as they are)."""
+        return Models(self._raw, self._stored, grains)
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, fixture: str = "e") -> "Models":
@@ -113,7 +121,7 @@ class Models:
 
     @cached_property
     def activity_spine(self) -> DataFrame:
-        return self._get("int_user_activity_periods", lambda: activity_spine(self.fct_events))
+        return self._get("int_user_activity_periods", lambda: activity_spine(self.fct_events, self._grains))
 
     @cached_property
     def growth_classified(self) -> DataFrame:
@@ -126,12 +134,12 @@ class Models:
 
     @cached_property
     def net_growth(self) -> DataFrame:
-        return self._get("rpt_net_growth", lambda: net_growth(self.growth_accounting))
+        return self._get("rpt_net_growth", lambda: net_growth(self.only("month").growth_accounting))
 
     @cached_property
     def cohort_retention(self) -> DataFrame:
         return self._get("rpt_cohort_retention",
-                         lambda: cohort_retention(self.dim_users, self.activity_spine))
+                         lambda: cohort_retention(self.dim_users, self.only("month").activity_spine))
 
     @cached_property
     def engagement(self) -> DataFrame:
@@ -175,8 +183,7 @@ class Models:
                     root = scratch_path(self.spark, "models")
                 path = f"{root}/{name}"
                 current.table(name).write.mode("overwrite").parquet(path)
-                current = Models(raw=self._raw, stored={**current._stored,
-                                                        name: self.spark.read.parquet(path)})
+                current = Models(self._raw, {**current._stored, name: self.spark.read.parquet(path)}, self._grains)
         return current
 
     @property

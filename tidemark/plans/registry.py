@@ -2,7 +2,8 @@
 
 Every key runs over the whole of a raw log derived from the driver's tables
 (fixture ``e`` from ``events``; the ``_o`` keys from ``orders`` x
-``customer``), so its work grows with the tables.
+``customer``; the ``_b`` check keys from ``events`` with faults), so its work
+grows with the tables.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import quality, serving
+from tidemark.operators.value_flow import money_rounded
 from tidemark.plans import loads
 from tidemark.plans.models import Models
-from tidemark.sources.fixtures import FIXTURES
+from tidemark.session import scratch_epoch
+from tidemark.sources.fixtures import FIXTURES, faulty_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,15 +33,17 @@ MODEL_QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "net_growth": lambda m: m.net_growth,
     "cohort_retention": lambda m: m.cohort_retention,
     "engagement": lambda m: m.engagement,
-    "value_flow": lambda m: m.value_flow,
-    "category_totals": lambda m: m.category_totals,
-    "value_economy": lambda m: m.value_economy,
+    "value_flow": lambda m: money_rounded(m.value_flow),
+    "category_totals": lambda m: money_rounded(m.category_totals),
+    "value_economy": lambda m: money_rounded(m.value_economy),
     # serving queries (Q1-Q11)
-    "growth_month": lambda m: serving.growth_month(m.growth_accounting),
-    "growth_week": lambda m: serving.growth_week(m.growth_accounting),
+    # a report of one grain builds the spine at that grain alone
+    "growth_month": lambda m: serving.growth_month(m.only("month").growth_accounting),
+    "growth_week": lambda m: serving.growth_week(m.only("week").growth_accounting),
     "net_growth_series": lambda m: serving.net_growth_series(m.net_growth),
     # the pivot needs the offsets first: the small report is written once and
     # read by both jobs instead of being computed twice from the raw log
+    "retention_long": lambda m: serving.retention_long(m.cohort_retention),
     "retention_triangle": lambda m: serving.retention_triangle(
         m.materialized(["rpt_cohort_retention"], with_inputs=False).cohort_retention),
     "engagement_all": lambda m: serving.engagement_all(m.engagement),
@@ -47,22 +52,19 @@ MODEL_QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "users_by_source": lambda m: serving.users_by_source(m.dim_users),
     "users_by_country": lambda m: serving.users_by_country(m.dim_users),
     "users_by_platform": lambda m: serving.users_by_platform(m.dim_users),
-    "value_flow_series": lambda m: serving.value_flow_series(m.value_economy),
-    "top_categories": lambda m: serving.top_categories(m.value_economy),
-    # data-quality checks (D1-D11); each returns failing rows or per-check counts
-    # (the suite reads many models, so each is written once first)
-    "dq_not_null": lambda m: quality.row_check_summary(m.materialized().tables(), kinds=("not_null",)),
-    "dq_unique": lambda m: quality.unique_failures(m.materialized(quality.tables_of("unique")).tables()),
-    "dq_accepted_values": lambda m: quality.accepted_values_failures(
-        m.materialized(quality.tables_of("accepted_values")).tables()),
-    "dq_relationships": lambda m: quality.relationship_failures(
-        m.materialized(quality.tables_of("relationships")).tables()),
-    "dq_expression": lambda m: quality.row_check_summary(
-        m.materialized(quality.tables_of("expression")).tables(), kinds=("expression",)),
-    # a single invariant reads one or two models: one plan, no materialisation
-    **{name: (lambda n: lambda m: quality.singular_failures(n, m.tables()))(name)
-       for name in quality.SINGULAR},
-    "dq_summary": lambda m: quality.run_checks(m.materialized().tables()),
+    "value_flow_series": lambda m: serving.value_flow_series(money_rounded(m.value_economy)),
+    "top_categories": lambda m: serving.top_categories(money_rounded(m.value_economy)),
+}
+
+# data-quality checks (D1-D11); each returns failing rows or per-check counts
+CHECK_QUERIES: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "dq_not_null": lambda t: quality.row_check_summary(t, kinds=("not_null",)),
+    "dq_unique": quality.unique_failures,
+    "dq_accepted_values": quality.accepted_values_failures,
+    "dq_relationships": quality.relationship_failures,
+    "dq_expression": lambda t: quality.row_check_summary(t, kinds=("expression",)),
+    **{name: partial(quality.singular_failures, name) for name in quality.SINGULAR},
+    "dq_summary": quality.run_checks,
 }
 
 # key -> scenario over a whole fixture log that writes through a sink
@@ -70,15 +72,37 @@ LOAD_QUERIES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "stg_events_incremental": loads.incremental_replay,
     "stg_events_stream": loads.stream_replay,
     "dim_users_stream": loads.dim_stream,
+    "stg_events_csv": loads.csv_scan,
+    "stg_events_daily": loads.daily_scan,
+    "stored_growth_month": loads.stored_growth,
+    "layered_sql": loads.layered_sql,
 }
 
-SUFFIX = {"e": "", "o": "_o"}
+SUFFIX = {"e": "", "o": "_o", "b": "_b"}
+
+# the stored build that the check keys of a log share, as long as the scratch
+# folders stand: a log is cleaned and written once, not once per key
+_builds: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _build(spark: SparkSession, sf_dir: str, fixture: str) -> dict[str, DataFrame]:
+    key = (*scratch_epoch(spark), sf_dir, fixture)
+    if key not in _builds:
+        for old in [k for k in _builds if k[:2] != key[:2]]:
+            del _builds[old]
+        tables = Models.from_fixture(spark, sf_dir, fixture).materialized().tables()
+        _builds[key] = faulty_tables(tables) if fixture == "b" else tables
+    return _builds[key]
 
 
 def _on_models(fn: Callable[[Models], DataFrame], fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn(Models.from_fixture(spark, sf_dir, fixture))
 
 
+def _on_build(fn, fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fn(_build(spark, sf_dir, fixture))
+
+
 def _on_load(scenario, fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return scenario(spark, sf_dir, fixture)
 
@@ -90,4 +114,7 @@ def queries() -> dict[str, Query]:
             out[key + SUFFIX[fixture]] = partial(_on_models, fn, fixture)
         for key, scenario in LOAD_QUERIES.items():
             out[key + SUFFIX[fixture]] = partial(_on_load, scenario, fixture)
+    for fixture in (*FIXTURES, "b"):
+        for key, fn in CHECK_QUERIES.items():
+            out[key + SUFFIX[fixture]] = partial(_on_build, fn, fixture)
     return out

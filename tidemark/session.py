@@ -78,7 +78,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+# scratch folders of this process that still stand, by application
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tidemark", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "tidemark", f"{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_epoch(spark: SparkSession) -> tuple[str, int]:
+    """Changes when the scratch folders are cleared; what is kept by it is valid as long as it stays."""
+    app = spark.sparkContext.applicationId
+    return app, _cleared.get(app, 0)
+
+
+_cleared: dict[str, int] = {}
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder made so far and return their number.  Call
+    it when no result that reads them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    app = spark.sparkContext.applicationId
+    paths = _scratch.pop(app, [])
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    _cleared[app] = _cleared.get(app, 0) + 1
+    return len(paths)
