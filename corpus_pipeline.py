@@ -23,7 +23,8 @@ from tidemark.session import scratch_path
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among docs, rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classified(docs, labels).where("predicted = 0").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "text")  # no column of docs can clash
+    return classified(rows, labels).where("predicted = 0").select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,15 @@ def test_near_duplicates(spark, texts):
     assert got["n_shingles"].to_dict() == {i: len(s) for i, s in sets.items()}
 
 
+def test_one_id_with_several_texts(spark):
+    """Rows that share a doc_id are one node: the groups of all its texts meet."""
+    from tests.llm.cases import words
+    texts = [" ".join(words(60, s)) for s in range(4)]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[2]), (7, texts[0]), (6, texts[1]), (9, texts[2] + " tail"), (8, texts[3])]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(5, 5), (5, 5), (5, 5), (6, 5), (7, 5), (8, 8), (9, 5)]
+
+
 def test_link_between_members_far_from_the_pivot(spark):
     """A chain: each text is near the next one only, so no bucket's smallest
     member is linked with all."""

@@ -37,6 +37,17 @@ def test_stages_one_by_one(spark, tmp_path):
     assert ids["token_output"] == ids["mixing"] and set(docs.columns) == {"doc_id", "start", "n_tokens", "ids_crc32"}
 
 
+def test_clashing_columns_pass_through(spark):
+    names = ("score", "predicted", "held_out", "gone_id", "size", "copies", "mix_copies", "nth", "doc", "copy")
+    docs = small_docs(spark).limit(60)
+    for n in names:
+        docs = docs.withColumn(n, docs["doc_id"] + 7)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        assert all(r[n] == r["doc_id"] + 7 for r in out.collect() for n in names)
+
+
 def test_rows_without_id_stay(spark):
     rows = [(None, "a few words of its own", "en", "s", 1), (None, "and another text entirely", "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -161,7 +161,7 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     docs = text_input(docs)
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = docs.stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.001) if n > 1 else []
+    cuts = docs.stat.approxQuantile("doc_id", [i / n for i in range(1, n)], min(0.001, 0.1 / n)) if n > 1 else []
     cuts = sorted({int(c) for c in cuts})
     above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c >= F.col("doc_id"))) if cuts else F.lit(0)
     placed = docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(above))

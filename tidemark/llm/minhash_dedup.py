@@ -187,9 +187,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = stored(with_set.select("doc_id", "k1", "k2", "n_shingles").join(classes, ["k1", "k2", "n_shingles"])
                     .select("doc_id", "rep").distinct(), "members")
     first = member.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-    same = first.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    several = first.where("rep <> other").select(F.col("doc_id").alias("id"), F.col("rep").alias("a"))
+    same = member.join(several, member["doc_id"] == several["id"]).select("a", F.col("rep").alias("b"))
     reps = stored(scan.join(classes, ["k1", "k2", "n_shingles"]).where("doc_id = rep")
-                  .select("rep", "n_shingles", "sig").dropDuplicates(["rep"]), "signatures")
+                  .dropDuplicates(["rep", "k1", "k2"]).select("rep", "n_shingles", "sig"), "signatures")
 
     bands = stored(reps.select("rep", "sig").mapInArrow(_band_keys, "key long, rep long"), "bands")
     pivots = bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top")).where("pivot < top")

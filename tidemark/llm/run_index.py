@@ -45,6 +45,7 @@ GRAM = 32
 SHARD_BYTES = 1 << 20
 HOT = 2048
 _PLACE = np.uint64((1 << 24) - 1)
+_SECOND = flat.fixed_random(8, 256)
 _PIECE = 1 << 23  # a longer text is scanned in overlapping pieces of this many windows
 
 
@@ -222,7 +223,7 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             window = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             at = window + np.repeat(offs[:-1], counts)
             one = flat.span_hash(flat.prefix_hash(data), at, at + LENGTH)
-            two = flat.span_hash(flat.prefix_hash(data, flat.BYTE_VALUE_LOWER[::-1].copy()), at, at + LENGTH)
+            two = flat.span_hash(flat.prefix_hash(data, _SECOND), at, at + LENGTH)
             rows = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), c["doc_id"].take(rows), c["h"].take(rows),
