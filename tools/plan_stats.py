@@ -4,8 +4,8 @@
 
 Reads ``explain("formatted")`` of each key's DataFrame (nothing executed
 beyond what building the DataFrame needs) and prints one line per key.
-Counts are of AQE's initial plan: identical exchanges (e.g. the fact-table
-fan-out read by two branches) are listed per branch and reused at run time.
+Counts are of AQE's initial plan.  An exchange listed for two branches runs
+twice unless both are identical, and few are.
 """
 
 from __future__ import annotations
