@@ -69,7 +69,7 @@ def test_golden_retention(spark):
         (D(2024, 2, 1), 0): (1, 1, 100.0),
     }
     tri = {r.cohort: r.asDict() for r in serving.retention_triangle(m.cohort_retention).collect()}
-    assert tri["2024-01"] == {"cohort": "2024-01", "M+0": 100.0, "M+1": 50.0, "M+3": 50.0}
+    assert tri["2024-01"] == {"cohort": "2024-01", "M+0": 100.0, "M+1": 50.0, "M+2": None, "M+3": 50.0}
     assert tri["2024-02"]["M+0"] == 100.0 and tri["2024-02"]["M+1"] is None
 
 
