@@ -199,6 +199,50 @@ def test_edited_passage_is_found(spark):
     assert got["class_id"].to_dict() == {1: 1, 2: 1, 3: 3} and got["n_links"].to_dict() == {1: 1, 2: 1, 3: 0}
 
 
+EDITED = [(50, (25,)), (60, (30,)), (75, (25,)), (90, (30, 60)), (150, (30, 100, 125)), (50, (2,))]
+
+
+def test_edited_passages_are_whole(spark):
+    """Passages of 0.75 and more, each run of equal shingles short."""
+    from tests.llm.cases import words
+    rows, want = [], {}
+    for k, (n, places) in enumerate(EDITED):
+        shared = words(n, 50 + k)
+        edited = [f"changed{p}" if p in places else w for p, w in enumerate(shared)]
+        rows += [(2 * k, " ".join(words(70, 100 + k) + shared)), (2 * k + 1, " ".join(edited + words(90, 150 + k)))]
+        want |= {2 * k: f"70:{70 + n}", 2 * k + 1: f"0:{n}"}
+    got = _by_id(passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got["spans"].to_dict() == want
+    assert got["class_id"].to_dict() == {i: i // 2 * 2 for i in want} and set(got["n_links"]) == {1}
+
+
+def test_passages_cover_what_brute_force_covers():
+    """Every stretch that passes and ends at shared shingles is covered; with
+    substituted words passages lie on one diagonal."""
+    rng = np.random.default_rng(11)
+    own = lambda w, *x: passages._Own(w.astype(np.uint64), *x)
+    for _ in range(60):
+        n, lead = int(rng.integers(50, 151)), int(rng.integers(0, 40))
+        a = rng.integers(1, 1 << 60, lead + n + 30)
+        b = a.copy()
+        b[:lead], b[lead + n:] = rng.integers(1, 1 << 60, lead), rng.integers(1, 1 << 60, 30)
+        at = lead + rng.integers(0, n, int(rng.integers(1, 5)))
+        b[at] = rng.integers(1, 1 << 60, len(at))
+        x, y = own(a), own(b, False)
+        same = x.seq == y.seq
+        total = np.concatenate([[0], np.cumsum(same)])
+        want, told = np.zeros(len(same), bool), np.zeros(len(same), bool)
+        for s in np.flatnonzero(same):
+            for e in np.flatnonzero(same) + 1:
+                shared = total[e] - total[s] if e - s >= passages.LEAST else 0
+                if shared and 100 * shared >= 75 * (2 * (e - s) - shared):
+                    want[s:e] = True
+        for s, e, t, f in passages.verified(x, y):
+            assert e - s >= passages.LEAST <= f - t and passages._near(x.seq[s:e], y.seq[t:f])
+            told[s:e] = True
+        assert (told >= want).all()
+
+
 def test_token_files_round_trip(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
