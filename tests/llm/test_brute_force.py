@@ -243,6 +243,28 @@ def test_passages_cover_what_brute_force_covers():
         assert (told >= want).all()
 
 
+def test_passages_beside_a_frequent_line(spark):
+    """Two documents share a passage made up mostly of a line that many others
+    have too: every key leads to the others, and still the two are found."""
+    from tests.llm.cases import words
+    line, tail = words(38, 900), words(14, 901)
+    rows = [(k, " ".join(words(60, 1000 + k) + line + words(60, 2000 + k))) for k in range(300)]
+    rows += [(k, " ".join(words(60, 1000 + k) + line + tail + words(60, 2000 + k))) for k in range(300, 310)]
+    got = _by_id(passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string"))).sort_index()
+    near = got.loc[300:309]
+    assert set(near["n_links"]) == {9} and set(near["class_id"]) == {300} and set(near["spans"]) == {"60:112"}
+    far = got.loc[:299]
+    assert set(far["spans"]) == {""}
+
+
+def test_links_of_a_large_group_are_counted_whole(spark):
+    from tests.llm.cases import words
+    shared = words(70, 800)
+    rows = [(k, " ".join(words(60, 3000 + k) + shared + words(60, 4000 + k))) for k in range(40)]
+    got = _by_id(passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert set(got["n_links"]) == {39} and set(got["spans"]) == {"60:130"} and set(got["class_id"]) == {0}
+
+
 def test_token_files_round_trip(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
