@@ -265,6 +265,20 @@ def test_links_of_a_large_group_are_counted_whole(spark):
     assert set(got["n_links"]) == {39} and set(got["spans"]) == {"60:130"} and set(got["class_id"]) == {0}
 
 
+def test_half_disguised_personal_data():
+    def more(text):
+        found = pii.disguised(text, pii.detect(text))
+        return [(k, text[a:b]) for k in pii.KINDS for a, b in found[k]]
+    for mail in ("jane dot doe at example.com", "jane at mail.example dot com"):
+        assert more(f"mail {mail}, please") == [("email", mail)]
+    card = "4111 one111 1111 1111".replace("one111", "one 111")
+    assert more(f"card {card} ok") == [("card", card)]
+    assert more("call +1 five 5 five 123 4567 now") == [("phone", "+1 five 5 five 123 4567")]
+    for clean in ("meet us at example.com today", "one 5 star hotel and 3 one way tickets", "a dot com firm at home",
+                  "we met at 5 one evening", "look at the red dot at noon"):
+        assert more(clean) == []
+
+
 def test_token_files_round_trip(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer

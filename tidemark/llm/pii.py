@@ -8,6 +8,9 @@ output character keeps the source span it came from.  The same detectors run
 on the rewritten text, and a span that rests on a rewritten character and
 meets no plain span of its kind is mapped back and added.
 
+A bare " at " is a sign only if a dot of the name or the host is disguised too:
+"jane at example.com" reads like "meet us at example.com" and gives no span.
+
 Offsets count code points; ends are exclusive.  The rewriting runs only on
 texts that hold something to rewrite, and always on the whole of such a text.
 
@@ -70,10 +73,14 @@ _DIGIT_WORD = re.compile(rf"(?<![a-z0-9])(?:{_SPELLED})(?![a-z0-9])", re.I)
 #: Two spelled digits in a row, on lower-cased text: a text without is left alone.
 _TWO_SPELLED = re.compile(rf"(?:{_SPELLED})[\s,-]+(?:{_SPELLED})(?![a-z0-9])")
 _JOIN = re.compile(rf"(?<![a-z0-9])(?:{_SPELLED})(?:[\s,-]+(?:{_SPELLED})(?![a-z0-9]))+", re.I)
+#: A spelled digit beside a numeral.
+_SINGLE = re.compile(rf"(?<![a-z0-9])(?:(?<=[0-9][\s-])(?:{_SPELLED})(?![a-z0-9])|(?:{_SPELLED})(?=[\s-][0-9]))", re.I)
 _SIGN_AT = r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*"
 _SIGN_DOT = r"\s*[(\[{<]\s*(?:dot|punkt|point|punto|\.)\s*[)\]}>]\s*|\s+dot\s+"
 _HOST = rf"[A-Za-z0-9-]+(?:(?:{_SIGN_DOT}|\.)[A-Za-z0-9-]+)+"
-_AT = re.compile(rf"(?P<at>{_SIGN_AT})(?={_HOST})|(?P<word>\s+at\s+)(?=[A-Za-z0-9-]+(?:{_SIGN_DOT})[A-Za-z0-9-]+)", re.I)
+_AT = re.compile(rf"(?P<at>{_SIGN_AT})(?={_HOST})|(?P<word>\s+at\s+)(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_SIGN_DOT})[A-Za-z0-9-]+)", re.I)
+#: " at " before a plain host, after a name with a disguised dot.
+_NAME_AT = re.compile(rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+(?:(?:{_SIGN_DOT})[A-Za-z0-9._%+-]+)+)\s+at\s+(?={_HOST})", re.I)
 _DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_SIGN_DOT})(?=[A-Za-z0-9])", re.I)
 _BRACKETED = re.compile(r"[(\[{<]\s*(?:at|@|dot|punkt|point|punto|\.)\s*[)\]}>]")
 
@@ -170,7 +177,7 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
     none: dict[str, list[Span]] = {k: [] for k in KINDS}
     low = text.lower()
     glyphs = not text.isascii() and bool(_ANY_GLYPH.search(text))
-    spelled = any(w in low for w in _DIGIT_WORDS) and bool(_TWO_SPELLED.search(low))
+    spelled = any(w in low for w in _DIGIT_WORDS) and bool(_TWO_SPELLED.search(low) or _SINGLE.search(low))
     signs = "dot" in low or any(b in low for b in "([{<") and bool(_BRACKETED.search(low))
     if not (glyphs or spelled or signs):
         return none
@@ -180,7 +187,9 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
         tape.replace(_INVISIBLE, lambda m: "")
     if spelled or glyphs:
         tape.replace(_JOIN, _spelled_run)
+        tape.replace(_SINGLE, _spelled_run)
     if signs or glyphs:
+        tape.replace(_NAME_AT, lambda m: _DOT.sub(".", m["name"]) + "@")
         tape.replace(_AT, lambda m: "@")
         tape.replace(_DOT, lambda m: ".")
     for kind, spans in detect(tape.text).items():
