@@ -48,7 +48,41 @@ SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles,
 FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_id
 """
 
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                             lambda v, step: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+_OP13 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 5 AS base, {_CRC32} % 9 AS h FROM (SELECT DISTINCT c FROM turns)),
+parts AS (
+  SELECT convs.c, 0 AS part, pos, r, x FROM convs JOIN turns ON turns.c = base AND pos < h
+  UNION ALL SELECT c, 1, pos, r, x FROM convs JOIN turns USING (c) WHERE pos >= h),
+prefixes AS (
+  SELECT c, row_number() OVER w AS d, list({{'r': r, 'x': x}}) OVER w AS prefix, strlen(x) AS bytes
+  FROM parts WINDOW w AS (PARTITION BY c ORDER BY part, pos)
+  UNION ALL SELECT c, 0, [], 0 FROM convs),
+paths AS (SELECT c, d, bytes, min(c) OVER (PARTITION BY prefix) AS m, max(d) OVER (PARTITION BY c) AS len FROM prefixes),
+nodes AS (
+  SELECT d, m, count(*) AS n_convs, any_value(bytes) AS bytes, bool_and(len = d) AS childless,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len = d), '')) AS ends_sha256
+  FROM paths GROUP BY d, m),
+parents AS (SELECT n.d, n.m, p.m AS parent FROM nodes n JOIN paths p ON p.c = n.m AND p.d = n.d - 1),
+children AS (SELECT d - 1 AS d, parent AS m, count(*) AS n_children FROM parents GROUP BY ALL),
+totals AS (
+  SELECT p.d, p.m, sum(u.childless::INT) AS n_leaves, sum((u.n_convs - 1) * u.bytes) AS saved_tokens
+  FROM nodes u JOIN paths p ON p.c = u.m AND p.d <= u.d GROUP BY ALL)
+SELECT m AS conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM nodes JOIN totals USING (d, m) LEFT JOIN parents USING (d, m) LEFT JOIN children USING (d, m)
+"""
+
 ORACLES = {
     "op4_benchmark_decontamination": _OP4,
     "op9_minhash_near_dedup": _OP9,
+    "op13_prefix_trie": _OP13,
 }

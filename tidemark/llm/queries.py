@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (decontaminate, language_id, lz_fingerprint, minhash_dedup, mixing, passages, pii, run_index,
-                          token_counts, token_files, toxicity, whitening)
+from tidemark.llm import (decontaminate, language_id, lz_fingerprint, minhash_dedup, mixing, passages, pii, prefix_trie,
+                          run_index, token_counts, token_files, toxicity, whitening)
 from tidemark.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
@@ -81,7 +85,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     every = (op1_toxicity, op2_near_passages, op3_language_id, op4_benchmark_decontamination, op5_run_index_dedup,
              op6_token_files, op7_personal_data, op8_lz_fingerprint, op9_minhash_near_dedup, op10_source_mixing,
-             op11_token_counts, op12_embedding_whitening, pipeline)
+             op11_token_counts, op12_embedding_whitening, op13_prefix_trie, pipeline)
     return {f.__name__: f for f in every}
 
 
