@@ -189,16 +189,18 @@ class Fit:
 
     def __init__(self, d: int, n: int, s: list[int], g: list[list[int]], components: int):
         self.d, self.n, self.s = d, n, s
-        self.square = sum(v * v for v in s)
         # Python divides integers with one rounding, so V is n * G - S * S' over n * n to the last bit
         v = np.array([[(n * g[i][j] - s[i] * s[j]) / (n * n) for j in range(d)] for i in range(d)], np.float64).reshape(d, d)
-        e, w = np.linalg.eigh(v) if d else (np.zeros(0), np.zeros((0, 0)))
+        if not d:
+            self.e, self.w, self.explained = np.zeros(0), np.zeros((0, 0)), np.zeros(0)
+            return
+        e, w = np.linalg.eigh(v)
         e, w = e[::-1][:components], w[:, ::-1][:, :components]
-        real = e > (e[0] if len(e) else 0.0) * max(d, 1) * np.finfo(float).eps
+        real = e > max(e[0], 0.0) * d * np.finfo(float).eps
         self.e, w = e[real], w[:, real]
         top = np.abs(w).argmax(axis=0)
         self.w = w * np.sign(w[top, np.arange(w.shape[1])])  # the largest entry is positive
-        self.explained = self.e / np.trace(v) if len(self.e) else self.e
+        self.explained = self.e / np.trace(v)
 
     def _small(self, x: np.ndarray) -> bool:
         most = int(np.maximum(x, ~x).max(initial=0)) + 1
