@@ -3,6 +3,7 @@
 import datetime as dt
 import io
 import os
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import redirect_stdout
 
 import pytest
@@ -14,7 +15,7 @@ from tidemark.plans.loads import dim_stream, incremental_replay, stream_replay
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.sources.raw_events import RAW_COLUMNS, write_raw_csv
-from tidemark.streaming import incremental
+from tidemark.streaming import commits
 from tidemark.streaming.incremental import IncrementalTable, SchemaDriftError
 from tidemark.streaming.stream import compact_dim_users, dim_users_stream, read_dim_users, stage_events_stream
 
@@ -145,15 +146,118 @@ def test_mark_reaches_the_scan(spark, monkeypatch):
     assert plans[0].index("Exchange") < plans[0].index("Filter")  # the plan prints from the top
 
 
-def test_manifest_is_compacted(spark, monkeypatch):
-    monkeypatch.setattr(incremental, "COMPACT_EVERY", 2)
+def _day(spark, day, user):
+    return _stg(spark, [ev(f"2024-01-{day:02d} 00:00:00", user)])
+
+
+def test_log_is_compacted(spark, monkeypatch):
+    monkeypatch.setattr(commits, "COMPACT_EVERY", 2)
     target = IncrementalTable(spark, scratch_path(spark, "compact"))
     for day in range(1, 6):
-        target.append(_stg(spark, [ev(f"2024-01-0{day} 00:00:00", f"u{day}")]))
-    assert [n for n in target._names(target.manifest_root) if n.startswith("upto")] == ["upto=00001", "upto=00003"]
+        target.append(_day(spark, day, f"u{day}"))
+    assert [n for n in target.log.files.names(target.log.path) if n.startswith("upto")] == ["upto-0000000001.json", "upto-0000000003.json"]
     assert [r.load_id for r in target.manifest().collect()] == [0, 1, 2, 3, 4]
-    read = [f for f in target.manifest().inputFiles()]
-    assert len(read) == 2 and _users(target) == ["u1", "u2", "u3", "u4", "u5"]
+    seen = []
+    read = commits.Files.read
+    monkeypatch.setattr(commits.Files, "read", lambda self, path: seen.append(path.rsplit("/", 1)[1]) or read(self, path))
+    assert _users(target) == ["u1", "u2", "u3", "u4", "u5"]
+    assert seen == ["upto-0000000003.json", "entry-0000000004.json"]
+
+
+@pytest.mark.parametrize("left", ["", '{"load_id": 0}', '{"load_id": 0}\n{"entries": 3}', '{"load_id": 0}\n{"load'])
+def test_a_compaction_left_half_way_loses_nothing(spark, left):
+    target = IncrementalTable(spark, scratch_path(spark, "killed"))
+    for day in (1, 2, 3):
+        target.append(_day(spark, day, f"u{day}"))
+    assert target.log.files.put_if_absent(f"{target.log.path}/upto-0000000002.json", left)
+    assert target.log.files.put_if_absent(f"{target.log.path}/upto-0000000063.json", left)
+    assert target.exists() and _users(target) == ["u1", "u2", "u3"]
+    assert target.append(_day(spark, 4, "u4")).load_id == 3
+    assert _users(target) == ["u1", "u2", "u3", "u4"]
+
+
+def test_an_entry_that_is_gone_is_told(spark):
+    target = IncrementalTable(spark, scratch_path(spark, "gap"))
+    for day in (1, 2, 3):
+        target.append(_day(spark, day, f"u{day}"))
+    target.log.files.delete(target.log._entry(1))
+    with pytest.raises(commits.BrokenLogError):
+        target.read()
+
+
+@pytest.mark.parametrize("how", ["put_if_absent", "renamed"])
+def test_an_entry_is_put_once(spark, how):
+    files, path = commits.Files(spark), scratch_path(spark, "put") + "/entry"
+    put = getattr(files, how)
+    assert put(path, "one é") and not put(path, "two")
+    assert files.read(path) == "one é" and files.names(os.path.dirname(path)) == ["entry"]
+
+
+def test_two_writers_of_one_load_id_both_survive(spark, monkeypatch):
+    path = scratch_path(spark, "two")
+    one, two = IncrementalTable(spark, path), IncrementalTable(spark, path)
+    one.append(_day(spark, 1, "u1"))
+    write = IncrementalTable._write
+    state = {"other": True}
+
+    def slow(self, *args):
+        out = write(self, *args)
+        if self is one and state.pop("other", None):  # the other writer commits between this one's write and commit
+            assert two.append(_stg(spark, [ev("2024-01-03 00:00:00", "u3")])).load_id == 1
+        return out
+
+    monkeypatch.setattr(IncrementalTable, "_write", slow)
+    res = one.append(_stg(spark, [ev("2024-01-02 00:00:00", "late now"), ev("2024-01-04 00:00:00", "u4")]))
+    assert (res.load_id, res.rows, res.late_rows) == (2, 1, 1)
+    assert _users(one) == ["u1", "u3", "u4"]
+    assert len(one.log.files.names(one.data_root)) == 3  # the first attempt is gone
+
+
+def test_writers_at_the_same_time(spark):
+    path = scratch_path(spark, "threads")
+
+    def load(i):
+        return IncrementalTable(spark, path).append(_day(spark, i + 1, f"u{i}"), keep_late=True)
+
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(load, range(4)))
+    table = IncrementalTable(spark, path)
+    assert sorted(r.load_id for r in results) == [0, 1, 2, 3] == [x.load_id for x in table.loads()]
+    assert table.read().count() + table.late().count() == 4 and table.high_water_mark() == dt.datetime(2024, 1, 4)
+    table.replay_late()
+    assert _users(table) == ["u0", "u1", "u2", "u3"]
+
+
+def test_late_rows_are_kept_and_replayed_once(spark):
+    target = IncrementalTable(spark, scratch_path(spark, "late"))
+    target.append(_day(spark, 5, "u5"))
+    assert target.replay_late() is None
+    target.append(_day(spark, 3, "u3").union(_day(spark, 6, "u6")), keep_late=True)
+    target.append(_day(spark, 6, "tie").union(_day(spark, 4, "dropped")))
+    assert sorted(r.user_id for r in target.late().collect()) == ["u3"]
+    res = target.replay_late()
+    assert (res.load_id, res.rows) == (3, 1) and target.replay_late() is None and target.late().count() == 0
+    assert _users(target) == ["u3", "u5", "u6"] and target.high_water_mark() == dt.datetime(2024, 1, 6)
+    assert target.append(_day(spark, 7, "u7").union(_day(spark, 1, "u1")), keep_late=True).late_rows == 1
+    assert [r.user_id for r in target.late().collect()] == ["u1"]
+
+
+def test_vacuum_removes_what_no_entry_names(spark):
+    target = IncrementalTable(spark, scratch_path(spark, "vacuum"))
+    target.append(_day(spark, 1, "u1"))
+    _day(spark, 9, "u9").write.parquet(f"{target.data_root}/load_id=00001-dead")
+    assert target.vacuum() == 0 and target.vacuum(0) == 1 and target.vacuum(0) == 0
+    assert _users(target) == ["u1"]
+
+
+def test_a_merge_left_half_way_is_passed_over(spark):
+    base = scratch_path(spark, "merge")
+    for i, user in enumerate(("u1", "u2")):
+        write_raw_csv(raw_frame(spark, [ev(f"2024-01-0{i + 1} 00:00:00", user)]), f"{base}/in", "append")
+        dim_users_stream(spark, f"{base}/in", f"{base}/t", f"{base}/cp").awaitTermination()
+    for left in ("merged=000001", "batch=000002"):  # no mark of success
+        read_dim_users(spark, f"{base}/t").limit(0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/t/{left}")
+    assert sorted(r.user_id for r in read_dim_users(spark, f"{base}/t").collect()) == ["u1", "u2"]
 
 
 def test_dimension_folders_are_merged(spark):

@@ -14,9 +14,10 @@ Semantics kept from the reference:
 
 Storage layout (all below ``path``)::
 
-    data/load_id=00000/event_month=2024-01-01/part-*.parquet
-    _manifest/load=00000/part-*.parquet        (one row per committed load)
-    _manifest/upto=00063/part-*.parquet        (all loads so far, in one file)
+    data/load_id=00000-<attempt>/event_month=2024-01-01/part-*.parquet
+    late/load_id=00001-<attempt>/part-*.parquet     (rows kept aside, when asked)
+    _log/entry-0000000000.json                      (one per committed load)
+    _log/upto-0000000063.json                       (all loads so far, in one file)
 
 Inside a load, files are partitioned by month of ``event_date`` (or by day,
 ``partition_grain="day"``) and sorted by time, so a time-range read prunes
@@ -24,30 +25,39 @@ whole folders and then Parquet row groups.  Month is the default because a
 bulk history load at day grain writes one folder per day per load: 2,400
 folders for the 80-month order log, measured 60 s against 3.5 s by month.
 
-The manifest row is written after the load's data commit, so a load that
-died half-way has no manifest row: readers ignore its folder and a retry of
-the same load id overwrites it.  Every ``COMPACT_EVERY`` loads the manifest is
-written again as one file; a reader opens the newest such file and the rows
-after it.  The mark is the maximum over manifest rows, so no data file is
-re-read to find it, and the filter against it is a plain literal comparison
-at the scan, before anything is shuffled: a rerun over the whole history reads
-the statistics of its files and writes nothing.
+Each attempt of a load writes a folder of its own; the entry put into the
+commit log (``commits.py``) names the one that counts.  A load that died
+half-way has no entry, so readers never see its folder.  Two writers that
+choose the same load id: one entry is put, the other writer reads the log
+again, compares its rows with the new mark and writes anew what is still above
+it, as if it had come second from the start.  ``vacuum`` removes folders that
+no entry names, once they are old.  The mark is the maximum over log entries,
+so no data file is re-read to find it, and the filter against it is a plain
+literal comparison at the scan, before anything is shuffled: a rerun over the
+whole history reads the statistics of its files and writes nothing.
 
 Load ids are given out by the table.  A writer that replays (a stream) names
-itself and its batch; the manifest keeps both, and only the same writer's same
+itself and its batch; the log keeps both, and only the same writer's same
 batch counts as loaded before.
+
+Late rows are dropped as in the reference.  With ``keep_late`` they are also
+written aside, and ``replay_late`` adds those of all loads so far as one more
+load, which leaves the mark where it is.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import time
+import uuid
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.staging import STG_SCHEMA
+from tidemark.streaming.commits import CommitLog
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("load_id", T.LongType(), False),
@@ -60,9 +70,6 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType(), True),
 ])
 
-COMPACT_EVERY = 64
-
-
 class SchemaDriftError(ValueError):
     """The batch's columns or types differ from the target's."""
 
@@ -76,6 +83,36 @@ class LoadResult:
     skipped: bool = False
 
 
+@dataclass(frozen=True)
+class Load:
+    """A committed load, as the log keeps it.  Times are microseconds of the epoch."""
+
+    load_id: int
+    folder: str | None
+    rows: int
+    late_rows: int
+    max_micros: int | None
+    min_micros: int | None
+    loaded_at: int
+    writer: str | None = None
+    batch_id: int | None = None
+    late_folder: str | None = None
+    replays: int | None = None  # the late rows of the loads below this id were added here
+
+    @property
+    def max_event_time(self) -> dt.datetime | None:
+        return _local(self.max_micros)
+
+    @property
+    def min_event_time(self) -> dt.datetime | None:
+        return _local(self.min_micros)
+
+
+def _local(micros: int | None) -> dt.datetime | None:
+    """The datetime that Spark gives a Python caller for such an instant."""
+    return None if micros is None else dt.datetime.fromtimestamp(micros // 10 ** 6).replace(microsecond=micros % 10 ** 6)
+
+
 def _shape(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
@@ -85,13 +122,6 @@ def assert_same_schema(batch: DataFrame, schema: T.StructType) -> None:
         raise SchemaDriftError(f"batch schema {_shape(batch.schema)} != target schema {_shape(schema)}")
 
 
-def count_late(batch: DataFrame, mark: dt.datetime | None, time_col: str = "event_time") -> int:
-    """Rows of a batch the high-water filter would drop (at or before the mark)."""
-    if mark is None:
-        return 0
-    return batch.where(F.col(time_col) <= F.lit(mark)).count()
-
-
 class IncrementalTable:
     """An append-only table loaded by high-water mark."""
 
@@ -132,57 +162,29 @@ class IncrementalTable:
         return f"{self.path}/data"
 
     @property
-    def manifest_root(self) -> str:
-        return f"{self.path}/_manifest"
-
-    def _load_dir(self, load_id: int) -> str:
-        return f"{self.data_root}/load_id={load_id:05d}"
-
-    # --------------------------------------------------------------- manifest
-    def _fs_exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
-
-    def _names(self, path: str) -> list[str]:
-        """Names of the folders below path."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+    def late_root(self) -> str:
+        return f"{self.path}/late"
+
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.path}/_log")
+
+    # -------------------------------------------------------------------- log
+    def loads(self) -> list[Load]:
+        """Committed loads in order: one small entry per delivery, whatever the data's size."""
+        return [Load(**e) for e in self.log.entries()]
 
     def manifest(self) -> DataFrame:
         """Committed loads, one row each in load order (an empty frame when none)."""
-        names = self._names(self.manifest_root)
-        upto = max((n for n in names if n.startswith("upto=")), default=None)
-        last = int(upto.split("=")[1]) if upto else -1
-        names = [n for n in names if n.startswith("load=") and int(n.split("=")[1]) > last] + ([upto] if upto else [])
-        if not names:
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return (self.spark.read.schema(MANIFEST_SCHEMA).parquet(*[f"{self.manifest_root}/{n}" for n in names])
-                .select(*MANIFEST_SCHEMA.fieldNames()).orderBy("load_id"))
-
-    def _commit(self, load_id: int, max_t, min_t, rows: int, late_rows: int, writer: str | None, batch_id: int | None) -> None:
-        """Write the load's manifest row; only after this is the load visible."""
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = (load_id, max_t, min_t, rows, late_rows, now, writer, batch_id)
-        (self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.manifest_root}/load={load_id:05d}"))
-        if load_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-            self.manifest().coalesce(1).write.mode("overwrite").parquet(f"{self.manifest_root}/upto={load_id:05d}")
-
-    def _committed(self) -> list:
-        # one small row per load: the list of loads is metadata, bounded by
-        # the number of deliveries, never by the data volume
-        return self.manifest().collect()
+        rows = [(x.load_id, x.max_event_time, x.min_event_time, x.rows, x.late_rows, _local(x.loaded_at), x.writer, x.batch_id)
+                for x in self.loads()]
+        return self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
     def exists(self) -> bool:
-        return bool(self._committed())
+        return bool(self.loads())
 
     def high_water_mark(self) -> dt.datetime | None:
-        marks = [r.max_event_time for r in self._committed() if r.max_event_time is not None]
-        return max(marks) if marks else None
+        return _local(_mark(self.loads()))
 
     # ------------------------------------------------------------------- read
     def read(self, time_from: dt.datetime | None = None, time_to: dt.datetime | None = None) -> DataFrame:
@@ -192,10 +194,10 @@ class IncrementalTable:
         within a load, whole month folders by a partition filter; Parquet
         row-group statistics on the time-sorted files prune the rest.
         """
-        loads = [r.load_id for r in self._committed() if r.rows > 0
-                 and (time_from is None or r.max_event_time >= time_from)
-                 and (time_to is None or r.min_event_time <= time_to)]
-        df = self._read_loads(loads, keep_partition=True)
+        loads = [x for x in self.loads() if x.rows > 0
+                 and (time_from is None or x.max_event_time >= time_from)
+                 and (time_to is None or x.min_event_time <= time_to)]
+        df = self._read_folders([x.folder for x in loads], keep_partition=True)
         t = F.col(self.time_col)
         if time_from is not None:
             df = df.where(t >= F.lit(time_from))
@@ -207,57 +209,132 @@ class IncrementalTable:
                 df = df.where(F.col("event_month") <= F.trunc(F.lit(time_to).cast("date"), "month"))
         return df.select(*self.schema.fieldNames())
 
-    def _read_loads(self, loads: list[int], keep_partition: bool = False) -> DataFrame:
+    def read_load(self, load_id: int) -> DataFrame:
+        """The rows of one committed load."""
+        load = self.loads()[load_id]
+        return self._read_folders([load.folder] if load.folder else []).select(*self.schema.fieldNames())
+
+    def _read_folders(self, folders: list[str], keep_partition: bool = False) -> DataFrame:
         extra = ([T.StructField("event_month", T.DateType(), True)]
                  if keep_partition and self.partition_grain == "month" else [])
         schema = T.StructType(self.schema.fields + extra)
-        if not loads:
+        if not folders:
             return self.spark.createDataFrame([], schema)
         df = (self.spark.read.schema(schema).option("basePath", self.data_root)
-              .parquet(*[self._load_dir(i) for i in loads]))
+              .parquet(*[f"{self.data_root}/{f}" for f in folders]))
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
     # ----------------------------------------------------------------- append
     def append(self, batch: DataFrame, on_empty: str = "full", writer: str | None = None,
-               batch_id: int | None = None) -> LoadResult:
+               batch_id: int | None = None, keep_late: bool = False) -> LoadResult:
         """Add the batch's rows later than the current mark as one new load.
 
         A caller that replays gives its name and batch id: a batch of that
-        writer already in the manifest is skipped, so a replay never loads
-        twice.  Any other writer's batches, and batch loads, are new loads.
+        writer already in the log is skipped, so a replay never loads twice.
+        Any other writer's batches, and batch loads, are new loads.  Writers
+        may append at the same time: loads are committed one after another,
+        each against the mark that the one before left.
         """
         if on_empty not in ("full", "strict"):
             raise ValueError("on_empty must be 'full' or 'strict'")
         if (writer is None) != (batch_id is None):
             raise ValueError("writer and batch_id come together")
         assert_same_schema(batch, self.schema)
-        committed = self._committed()
-        for r in committed:
-            if writer is not None and (r.writer, r.batch_id) == (writer, batch_id):
-                return LoadResult(r.load_id, r.rows, r.late_rows, r.max_event_time, skipped=True)
-        load_id = max((r.load_id for r in committed), default=-1) + 1
-        marks = [r.max_event_time for r in committed if r.max_event_time is not None]
-        mark = max(marks) if marks else None
-
+        written: Load | None = None
+        against: object = self  # no mark equals this
+        while True:
+            before = self.loads()
+            for x in before:
+                if writer is not None and (x.writer, x.batch_id) == (writer, batch_id):
+                    if written is not None:
+                        self._forget(written)
+                    return LoadResult(x.load_id, x.rows, x.late_rows, x.max_event_time, skipped=True)
+            mark = _mark(before)
+            strict = bool(before) and mark is None and on_empty == "strict"
+            if written is None or (mark, strict) != against:
+                if written is not None:  # another writer raised the mark meanwhile
+                    self._forget(written)
+                written = self._write(batch, len(before), mark, strict, keep_late)
+                against = (mark, strict)
+            load = Load(**(asdict(written) | {"load_id": len(before), "writer": writer, "batch_id": batch_id,
+                                              "loaded_at": time.time_ns() // 1000}))
+            if self.log.put(load.load_id, asdict(load)):
+                return LoadResult(load.load_id, load.rows, load.late_rows, load.max_event_time)
+
+    def _write(self, batch: DataFrame, load_id: int, mark: int | None, strict: bool, keep_late: bool) -> Load:
+        """Write an attempt's folders; nothing is visible before its entry is in the log."""
         t = F.col(self.time_col)
-        if committed and mark is None and on_empty == "strict":
-            # the reference compares with a null maximum: no row ever loads
-            rows, late_rows, max_t, min_t = 0, batch.count(), None, None
+        folder = f"load_id={load_id:05d}-{uuid.uuid4().hex[:8]}"
+        if strict:  # the reference compares with a null maximum: no row ever loads
+            late, stats, at = batch, (0, None, None), None
         else:
-            later = batch if mark is None else batch.where(t > F.lit(mark))
-            order = [self.partition_col, self.time_col] if self.partition_col else [self.time_col]
-            out = self._layout(later).sortWithinPartitions(*order).write.mode("overwrite")
-            if self.partition_col:
-                out = out.partitionBy(self.partition_col)
-            out.parquet(self._load_dir(load_id))
-            # one narrow column of what was written, and one of the batch: exact
-            # however often Spark had to repeat a stage of the write
-            stats = self._read_loads([load_id]).agg(
-                F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"), F.min(t).alias("min_t")).first()
-            rows, max_t, min_t = int(stats.rows), stats.max_t, stats.min_t
-            late_rows = count_late(batch, mark, self.time_col)
-        self._commit(load_id, max_t, min_t, rows, late_rows, writer, batch_id)
-        return LoadResult(load_id, rows, late_rows, max_t)
+            # nulls are neither later nor late
+            later = batch if mark is None else batch.where(t > F.timestamp_micros(F.lit(mark)))
+            late = None if mark is None else batch.where(t <= F.timestamp_micros(F.lit(mark)))
+            stats, at = self._write_rows(later, folder), folder
+        n_late = 0 if late is None else late.count()
+        kept = None
+        if keep_late and n_late:
+            kept = folder
+            late.write.parquet(f"{self.late_root}/{kept}")
+        return Load(load_id, at, stats[0], n_late, stats[1], stats[2], 0, late_folder=kept)
+
+    def _write_rows(self, rows: DataFrame, folder: str) -> tuple[int, int | None, int | None]:
+        order = [self.partition_col, self.time_col] if self.partition_col else [self.time_col]
+        out = self._layout(rows).sortWithinPartitions(*order).write
+        if self.partition_col:
+            out = out.partitionBy(self.partition_col)
+        out.parquet(f"{self.data_root}/{folder}")
+        # one narrow column of what was written: exact however often Spark had to repeat a stage of the write
+        t = F.unix_micros(F.col(self.time_col))
+        s = self._read_folders([folder]).agg(F.count(F.lit(1)).alias("rows"), F.max(t).alias("max_t"), F.min(t).alias("min_t")).first()
+        return int(s.rows), s.max_t, s.min_t
+
+    def _forget(self, load: Load) -> None:
+        for root, folder in ((self.data_root, load.folder), (self.late_root, load.late_folder)):
+            if folder:
+                self.log.files.delete(f"{root}/{folder}")
+
+    # ------------------------------------------------------------------- late
+    def late(self) -> DataFrame:
+        """Late rows kept aside and not replayed yet."""
+        loads = self.loads()
+        done = max((x.replays for x in loads if x.replays is not None), default=0)
+        folders = [f"{self.late_root}/{x.late_folder}" for x in loads[done:] if x.late_folder]
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
+
+    def replay_late(self) -> LoadResult | None:
+        """Add the late rows kept aside as one load; None when there are none.
+        Of two replays at the same time one finds the other's entry and stops."""
+        while True:
+            before = self.loads()
+            rows = self.late()
+            done = max((x.replays for x in before if x.replays is not None), default=0)
+            if not any(x.late_folder for x in before[done:]):
+                return None
+            folder = f"load_id={len(before):05d}-{uuid.uuid4().hex[:8]}"
+            n, max_t, min_t = self._write_rows(rows, folder)
+            load = Load(len(before), folder, n, 0, max_t, min_t, time.time_ns() // 1000, replays=len(before))
+            if self.log.put(load.load_id, asdict(load)):
+                return LoadResult(load.load_id, n, 0, load.max_event_time)
+            self._forget(load)
+
+    def vacuum(self, older_than_seconds: float = 7 * 86_400) -> int:
+        """Remove folders that no entry names and that have not changed for so
+        long (longer than any append takes); return their number."""
+        files, loads = self.log.files, self.loads()
+        named = {x.folder for x in loads} | {x.late_folder for x in loads}
+        gone = 0
+        for root in (self.data_root, self.late_root):
+            for name in files.names(root):
+                if name not in named and time.time() - files.changed(f"{root}/{name}") >= older_than_seconds:
+                    files.delete(f"{root}/{name}")
+                    gone += 1
+        return gone
+
+
+def _mark(loads: list[Load]) -> int | None:
+    return max((x.max_micros for x in loads if x.max_micros is not None), default=None)
 
 
 def append_above_high_water(target: IncrementalTable, batch: DataFrame, on_empty: str = "full") -> LoadResult:

@@ -32,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.marts import dim_from_state, first_and_last, merge_first_and_last
 from tidemark.operators.staging import clean_events
 from tidemark.sources.raw_events import read_raw_stream
+from tidemark.streaming.commits import Files
 from tidemark.streaming.incremental import IncrementalTable
 
 
@@ -71,8 +72,10 @@ def dim_users_stream(spark: SparkSession, source_dir: str, table_path: str,
 
 
 def _dim_folders(spark: SparkSession, table_path: str) -> list[str]:
-    """The newest merged folder and the batches after it."""
-    names = IncrementalTable(spark, table_path)._names(table_path)
+    """The newest merged folder and the batches after it; folders that a
+    writer left half-way lack the mark of success and do not count."""
+    files = Files(spark)
+    names = [n for n in files.names(table_path) if files.exists(f"{table_path}/{n}/_SUCCESS")]
     merged = max((n for n in names if n.startswith("merged=")), default=None)
     last = int(merged.split("=")[1]) if merged else -1
     later = [n for n in names if n.startswith("batch=") and int(n.split("=")[1]) > last]
