@@ -18,6 +18,7 @@ from tidemark.plans.models import Models
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.sources.raw_events import read_raw_csv, read_raw_daily, write_raw_csv, write_raw_daily
+from tidemark.streaming.growth_table import GrowthTable
 from tidemark.streaming.incremental import IncrementalTable
 from tidemark.streaming.stream import dim_users_stream, read_dim_users, stage_events_stream
 
@@ -44,6 +45,47 @@ def incremental_replay(spark: SparkSession, sf_dir: str, fixture: str) -> DataFr
     return target.read()
 
 
+def quarters(df: DataFrame, time_col: str = "event_time") -> list[DataFrame]:
+    """The rows in four parts by time, each a quarter of the time range (one aggregate row)."""
+    t = F.unix_micros(F.col(time_col))
+    row = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    if row.lo is None:
+        return [df] * 4
+    cuts = [row.lo + (row.hi - row.lo) * k // 4 for k in (1, 2, 3)]
+    ends = [t.isNull() | (t <= cuts[0]), (t > cuts[0]) & (t <= cuts[1]), (t > cuts[1]) & (t <= cuts[2]), t > cuts[2]]
+    return [df.where(e) for e in ends]
+
+
+def _growth_tables(spark: SparkSession, fixture: str, name: str) -> tuple[IncrementalTable, GrowthTable]:
+    base = scratch_path(spark, f"{name}_{fixture}")
+    return IncrementalTable(spark, f"{base}/stg_events"), GrowthTable(spark, f"{base}/growth", buckets=16)
+
+
+def growth_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
+    """Four deliveries, one after another; after each the growth report is
+    brought up to date from the new load alone, and compacted once between."""
+    staging, growth = _growth_tables(spark, fixture, "growth_loads")
+    for k, part in enumerate(quarters(clean_events(raw_events(spark, sf_dir, fixture)))):
+        staging.append(part)
+        growth.follow(staging)
+        if k == 2:
+            growth.compact()
+    return growth
+
+
+def growth_with_late_rows(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
+    """The second delivery comes after the third, so all its rows are late: kept
+    aside, replayed at the end, and worked into the report that stood by then."""
+    staging, growth = _growth_tables(spark, fixture, "growth_late")
+    first, second, third, fourth = quarters(clean_events(raw_events(spark, sf_dir, fixture)))
+    for part in (first, third, second, fourth):
+        staging.append(part, keep_late=True)
+        growth.follow(staging)
+    staging.replay_late()
+    growth.follow(staging)
+    return growth
+
+
 def _stage_deliveries(spark: SparkSession, sf_dir: str, fixture: str, source_dir: str):
     raw = raw_events(spark, sf_dir, fixture)
     typed = F.col("event_time").cast("timestamp")

@@ -19,6 +19,7 @@ from tidemark.plans import loads
 from tidemark.plans.models import Models
 from tidemark.session import scratch_epoch
 from tidemark.sources.fixtures import FIXTURES, faulty_tables
+from tidemark.streaming.growth_table import GrowthTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,10 @@ LOAD_QUERIES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "dim_users_stream": loads.dim_stream,
     "stg_events_csv": loads.csv_scan,
     "stg_events_daily": loads.daily_scan,
+    "growth_accounting_by_loads": lambda *a: _by_loads(*a).growth_accounting(),
+    "net_growth_by_loads": lambda *a: _by_loads(*a).net_growth(),
+    "dim_users_by_loads": lambda *a: _by_loads(*a).dim_users(),
+    "growth_accounting_late": lambda *a: loads.growth_with_late_rows(*a).growth_accounting(),
     "stored_growth_month": loads.stored_growth,
     "layered_sql": loads.layered_sql,
 }
@@ -95,6 +100,19 @@ def _build(spark: SparkSession, sf_dir: str, fixture: str) -> dict[str, DataFram
     return _builds[key]
 
 
+# the growth table that the keys of a log share: its loads are replayed once
+_growth: dict[tuple, GrowthTable] = {}
+
+
+def _by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
+    key = (*scratch_epoch(spark), sf_dir, fixture)
+    if key not in _growth:
+        for old in [k for k in _growth if k[:2] != key[:2]]:
+            del _growth[old]
+        _growth[key] = loads.growth_by_loads(spark, sf_dir, fixture)
+    return _growth[key]
+
+
 def _on_models(fn: Callable[[Models], DataFrame], fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn(Models.from_fixture(spark, sf_dir, fixture))
 
