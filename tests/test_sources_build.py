@@ -99,7 +99,7 @@ def test_build_writes_every_layer_and_rerun_adds_nothing(spark):
     raw = raw_events(spark, SF_SMALL, "o")
     root = scratch_path(spark, "build")
     first = build_all(spark, raw, root)
-    local = root.replace("file:", "")
+    local = first.snapshot.replace("file:", "")
     for name in TABLES:
         if name != "stg_events":
             assert os.path.isdir(table_path(local, name)), name
@@ -119,6 +119,55 @@ def test_build_writes_every_layer_and_rerun_adds_nothing(spark):
         assert _same(a, b), name
 
 
+def test_a_build_that_dies_leaves_the_old_tables(spark, monkeypatch):
+    from tidemark.plans import build
+    from tidemark.plans.snapshots import NoSnapshotError, Snapshots
+
+    raw, root = raw_events(spark, SF_SMALL, "e"), scratch_path(spark, "atomic")
+    early = raw.where(F.substring("event_time", 1, 10) <= "2024-01-10")
+    write = build.write_table
+
+    def dies(df, snapshot, name, *args):
+        if name == "rpt_engagement":
+            raise RuntimeError("killed")
+        write(df, snapshot, name, *args)
+
+    monkeypatch.setattr(build, "write_table", dies)
+    with pytest.raises(RuntimeError):
+        build_all(spark, early, root, check=False)
+    with pytest.raises(NoSnapshotError):
+        Models.from_tables(spark, root)
+    monkeypatch.setattr(build, "write_table", write)
+    build_all(spark, early, root, check=False)
+    old = Models.from_tables(spark, root)
+    monkeypatch.setattr(build, "write_table", dies)
+    with pytest.raises(RuntimeError):
+        build_all(spark, raw, root, check=False)  # the load is in, the reports are not
+    fresh, held = Models(early), Models.from_tables(spark, root)
+    for name in ("stg_events", "dim_users", "rpt_growth_accounting", "rpt_engagement", "rpt_net_growth"):
+        assert _same(held.table(name).select(*fresh.table(name).columns), fresh.table(name)), name
+    monkeypatch.setattr(build, "write_table", write)
+    build_all(spark, raw, root, check=False)
+    assert _same(Models.from_tables(spark, root).engagement, Models(raw).engagement)
+    assert _same(old.engagement, fresh.engagement)  # opened before: still readable
+    snaps = Snapshots(spark, root)
+    assert len(snaps.log.files.names(snaps.folder)) == 4 and snaps.expire() == 0
+    assert snaps.expire(0) == 3 and snaps.expire(0) == 0
+    assert _same(Models.from_tables(spark, root).engagement, Models(raw).engagement)
+
+
+def test_only_a_sound_build_is_published(spark):
+    from tidemark.plans.build import ChecksFailedError
+
+    root = scratch_path(spark, "sound")
+    build_all(spark, raw_events(spark, SF_SMALL, "e"), root, only_sound=True)
+    before = Models.from_tables(spark, root).stg_events.count()
+    faulty = raw_events(spark, SF_SMALL, "b").where(F.substring("event_time", 1, 10) > "2024-02-15")
+    with pytest.raises(ChecksFailedError):
+        build_all(spark, faulty, root, only_sound=True)
+    assert Models.from_tables(spark, root).stg_events.count() == before
+
+
 def test_bucketed_build_reads_user_tables_without_shuffle(spark):
     from tidemark.operators.growth import classify, growth_accounting
     from tidemark.plans.build import _bucketed_inputs

@@ -11,6 +11,11 @@ Every layer is read back from storage by the next one, as the reference's
 executor only recomputes inside the layer being built, and each report
 starts from compact Parquet instead of the raw log.  The growth table is
 partitioned by grain, so a read of one grain prunes the others.
+
+The tables of a build are a snapshot: written to a folder of their own and
+published by one pointer after the last table and the checks
+(``snapshots.py``).  Until then, and if the build dies, readers have the
+snapshot before.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from tidemark.operators.spine import activity_spine
 from tidemark.operators.staging import clean_events
 from tidemark.operators.value_flow import value_economy
 from tidemark.plans.models import TABLES, Models, stg_table
+from tidemark.plans.snapshots import Snapshots
 from tidemark.streaming.incremental import LoadResult
 
 PARTITIONING = {"rpt_growth_accounting": ["period_grain"]}
@@ -40,31 +46,37 @@ BUCKETED = ("dim_users", "int_user_activity_periods")
 class BuildResult:
     root: str
     load: LoadResult
+    snapshot: str
     seconds: dict[str, float] = field(default_factory=dict)
     checks: DataFrame | None = None
 
 
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{TABLES[name]}/{name}"
+class ChecksFailedError(ValueError):
+    """A build whose checks found rows was not published."""
+
+
+def table_path(snapshot: str, name: str) -> str:
+    return f"{snapshot.rstrip('/')}/{TABLES[name]}/{name}"
 
 
-def write_table(df: DataFrame, root: str, name: str, buckets: int | None = None,
+def write_table(df: DataFrame, snapshot: str, name: str, buckets: int | None = None,
                 database: str | None = None) -> None:
-    """Full-refresh sink (overwrite), partitioned where the table says so.
+    """Full-refresh sink into a snapshot's folder, partitioned where the table says so.
 
     With ``buckets`` the user-keyed tables are saved as catalog tables
-    bucketed and sorted by ``user_id`` (files still under ``root``): later
+    bucketed and sorted by ``user_id`` (files still in the snapshot): later
     joins and windows on ``user_id`` read them co-partitioned, without a
-    shuffle, on every rebuild of the reports.
+    shuffle.  The catalog's entry for them follows the newest build, finished
+    or not; readers of a snapshot go by its folder.
     """
     writer = df.write.mode("overwrite")
     if name in PARTITIONING:
         writer = writer.partitionBy(*PARTITIONING[name])
     if buckets and name in BUCKETED:
         (writer.bucketBy(buckets, "user_id").sortBy("user_id")
-         .option("path", table_path(root, name)).saveAsTable(f"{database}.{name}"))
+         .option("path", table_path(snapshot, name)).saveAsTable(f"{database}.{name}"))
         return
-    writer.parquet(table_path(root, name))
+    writer.parquet(table_path(snapshot, name))
 
 
 def _bucketed_inputs(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -73,8 +85,12 @@ def _bucketed_inputs(spark: SparkSession, database: str) -> dict[str, DataFrame]
 
 def build_all(spark: SparkSession, raw: DataFrame, root: str, on_empty: str = "full",
               check: bool = True, buckets: int | None = None,
-              database: str = "tidemark") -> BuildResult:
-    """Load the raw batch incrementally, then rebuild every downstream table.
+              database: str = "tidemark", only_sound: bool = False) -> BuildResult:
+    """Load the raw batch incrementally, then rebuild every downstream table
+    into a new snapshot and publish it.
+
+    ``only_sound``: publish only if no check finds a row; otherwise raise
+    ``ChecksFailedError``, and the snapshot before stays current.
 
     ``buckets``: save ``dim_users`` and the spine bucketed by ``user_id`` in
     catalog ``database`` (size it so one bucket of the spine is ~128-256 MB);
@@ -91,61 +107,68 @@ def build_all(spark: SparkSession, raw: DataFrame, root: str, on_empty: str = "f
         seconds[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    staging = stg_table(spark, root)
+    snapshots, staging = Snapshots(spark, root), stg_table(spark, root)
+    at = snapshots.new()
     load = timed("stg_events", lambda: staging.append(clean_events(raw), on_empty=on_empty))
-    stg = staging.read()
+    loads = len(staging.loads())
+    stg = staging.read(loads=loads)
 
-    timed("fct_events", lambda: write_table(build_fct_events(stg), root, "fct_events"))
-    timed("dim_users", lambda: write_table(build_dim_users(stg), root, "dim_users", buckets, database))
-    stored = Models.from_tables(spark, root, upto="marts")
+    timed("fct_events", lambda: write_table(build_fct_events(stg), at, "fct_events"))
+    timed("dim_users", lambda: write_table(build_dim_users(stg), at, "dim_users", buckets, database))
+    stored = Models.from_tables(spark, root, building=at, upto="marts")
     timed("int_user_activity_periods",
-          lambda: write_table(activity_spine(stored.fct_events), root, "int_user_activity_periods",
+          lambda: write_table(activity_spine(stored.fct_events), at, "int_user_activity_periods",
                               buckets, database))
-    stored = Models.from_tables(spark, root, upto="intermediate")
+    stored = Models.from_tables(spark, root, building=at, upto="intermediate")
     spine, dim, fct = stored.activity_spine, stored.dim_users, stored.fct_events
     if buckets:
         bucketed = _bucketed_inputs(spark, database)
         spine, dim = bucketed["int_user_activity_periods"], bucketed["dim_users"]
     timed("rpt_growth_accounting",
           lambda: write_table(growth_accounting(classify(spine, prepartitioned=bool(buckets)), dim),
-                              root, "rpt_growth_accounting"))
+                              at, "rpt_growth_accounting"))
     timed("rpt_cohort_retention",
           lambda: write_table(cohort_retention(dim, spine, prepartitioned=bool(buckets)),
-                              root, "rpt_cohort_retention"))
-    timed("rpt_engagement", lambda: write_table(engagement(fct), root, "rpt_engagement"))
-    timed("rpt_miles_economy", lambda: write_table(value_economy(fct), root, "rpt_miles_economy"))
-    ga = Models.from_tables(spark, root, upto="rpt_growth_accounting").growth_accounting
-    timed("rpt_net_growth", lambda: write_table(net_growth(ga), root, "rpt_net_growth"))
-
-    result = BuildResult(root=root, load=load, seconds=seconds)
-    if check:
-        tables = Models.from_tables(spark, root).tables()
-        checks_path = f"{root.rstrip('/')}/checks/results"
+                              at, "rpt_cohort_retention"))
+    timed("rpt_engagement", lambda: write_table(engagement(fct), at, "rpt_engagement"))
+    timed("rpt_miles_economy", lambda: write_table(value_economy(fct), at, "rpt_miles_economy"))
+    ga = Models.from_tables(spark, root, building=at, upto="rpt_growth_accounting").growth_accounting
+    timed("rpt_net_growth", lambda: write_table(net_growth(ga), at, "rpt_net_growth"))
+
+    result = BuildResult(root=root, load=load, snapshot=at, seconds=seconds)
+    if check or only_sound:
+        tables = Models.from_tables(spark, root, building=at).tables()
+        tables["stg_events"] = stg
+        checks_path = f"{at}/checks/results"
         timed("checks", lambda: run_checks(tables).write.mode("overwrite").parquet(checks_path))
         result.checks = spark.read.parquet(checks_path)
+        if only_sound and not result.checks.where("failing_rows > 0").isEmpty():
+            raise ChecksFailedError(f"checks found rows, see {checks_path}")
+    snapshots.publish(at, loads)
     return result
 
 
-
 def register_tables(spark: SparkSession, root: str, prefix: str = "main") -> list[str]:
     """Expose a build as catalog tables ``{prefix}_{layer}.{name}`` (S8).
 
     Reports, marts and the spine become external Parquet tables over their
     folders, so SQL written against the layered schemas runs unchanged with
-    ``spark.sql``; the staging table is registered as a view over its
-    committed loads only.  Returns the qualified names.
+    ``spark.sql``; the staging table is registered as a view over the
+    snapshot's loads.  They show the snapshot that is current now; register
+    again after a build.  Returns the qualified names.
     """
     names = []
+    current = Snapshots(spark, root).current()
     for name, layer in TABLES.items():
         db = f"{prefix}_{layer}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root.rstrip('/')}/catalog/{db}.db'")
         qualified = f"{db}.{name}"
         if name == "stg_events":
-            stg_table(spark, root).read().createOrReplaceTempView(f"{db}_{name}")
+            stg_table(spark, root).read(loads=current["loads"]).createOrReplaceTempView(f"{db}_{name}")
             names.append(f"{db}_{name}")
             continue
         spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-        spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{table_path(root, name)}'")
+        spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{table_path(current['folder'], name)}'")
         if name in PARTITIONING:
             spark.sql(f"MSCK REPAIR TABLE {qualified}")
         names.append(qualified)

@@ -20,6 +20,7 @@ from tidemark.operators.retention import cohort_retention
 from tidemark.operators.spine import activity_spine
 from tidemark.operators.staging import clean_events
 from tidemark.operators.value_flow import category_totals, value_economy, value_flow
+from tidemark.plans.snapshots import Snapshots
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.streaming.incremental import IncrementalTable
@@ -82,9 +83,11 @@ class Models:
         return cls(raw=raw_events(spark, sf_dir, fixture))
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, root: str, upto: str = "reports") -> "Models":
-        """Models over stored tables of ``root``, for layers up to ``upto``
-        (a layer name or a table name); later models are computed from them."""
+    def from_tables(cls, spark: SparkSession, root: str, upto: str = "reports", building: str | None = None) -> "Models":
+        """Models over the current snapshot of ``root``, for layers up to ``upto``
+        (a layer name or a table name); later models are computed from them.
+        ``building``: the folder of a build under way instead."""
+        current = {"folder": building, "loads": None} if building else Snapshots(spark, root).current()
         if upto in TABLES:
             names = [n for n in TABLES if LAYERS_IN_ORDER.index(TABLES[n]) < LAYERS_IN_ORDER.index(TABLES[upto])]
             names.append(upto)
@@ -93,9 +96,9 @@ class Models:
         stored = {}
         for name in names:
             if name == "stg_events":
-                stored[name] = stg_table(spark, root).read()
+                stored[name] = stg_table(spark, root).read(loads=current["loads"])
             else:
-                stored[name] = spark.read.parquet(f"{root.rstrip('/')}/{TABLES[name]}/{name}")
+                stored[name] = spark.read.parquet(f"{current['folder']}/{TABLES[name]}/{name}")
         return cls(stored=stored)
 
     def _get(self, name: str, build):

@@ -187,17 +187,19 @@ class IncrementalTable:
         return _local(_mark(self.loads()))
 
     # ------------------------------------------------------------------- read
-    def read(self, time_from: dt.datetime | None = None, time_to: dt.datetime | None = None) -> DataFrame:
-        """Committed rows (loads without a manifest row are ignored).
+    def read(self, time_from: dt.datetime | None = None, time_to: dt.datetime | None = None,
+             loads: int | None = None) -> DataFrame:
+        """Committed rows (folders that no log entry names are ignored); of the
+        first ``loads`` loads when given.
 
         A time range skips whole loads by their recorded min / max time and,
         within a load, whole month folders by a partition filter; Parquet
         row-group statistics on the time-sorted files prune the rest.
         """
-        loads = [x for x in self.loads() if x.rows > 0
-                 and (time_from is None or x.max_event_time >= time_from)
-                 and (time_to is None or x.min_event_time <= time_to)]
-        df = self._read_folders([x.folder for x in loads], keep_partition=True)
+        own = [x for x in self.loads()[:loads] if x.rows > 0
+               and (time_from is None or x.max_event_time >= time_from)
+               and (time_to is None or x.min_event_time <= time_to)]
+        df = self._read_folders([x.folder for x in own], keep_partition=True)
         t = F.col(self.time_col)
         if time_from is not None:
             df = df.where(t >= F.lit(time_from))
