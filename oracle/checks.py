@@ -91,7 +91,7 @@ INVARIANTS = {
     # everyone of a cohort is there in its own month
     "dq_retention_m0": ("rpt_cohort_retention", """
         select cohort_month, months_since_first, retention_pct from {rpt_cohort_retention}
-        where (months_since_first, retention_pct) in (select 0, p from (select distinct retention_pct as p from {rpt_cohort_retention}) where p <> 100)"""),
+        where months_since_first = 0 and retention_pct <> 100"""),
     # a cohort is as large in the report as in the dimension
     "dq_cohort_size": ("rpt_cohort_retention", """
         with sizes as (

@@ -18,8 +18,9 @@ from tidemark.plans.models import Models
 from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.sources.raw_events import read_raw_csv, read_raw_daily, write_raw_csv, write_raw_daily
+from tidemark.streaming.activity_bitmaps import ActivityBitmaps
 from tidemark.streaming.growth_table import GrowthTable
-from tidemark.streaming.incremental import IncrementalTable
+from tidemark.streaming.incremental import IncrementalTable, SchemaDriftError
 from tidemark.streaming.stream import dim_users_stream, read_dim_users, stage_events_stream
 
 
@@ -45,6 +46,34 @@ def incremental_replay(spark: SparkSession, sf_dir: str, fixture: str) -> DataFr
     return target.read()
 
 
+def rerun_log(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
+    """ST2: the whole log loaded twice; the second load finds nothing to add."""
+    stg = clean_events(raw_events(spark, sf_dir, fixture))
+    target = IncrementalTable(spark, scratch_path(spark, f"stg_rerun_{fixture}"))
+    target.append(stg)
+    target.append(stg)
+    return target.manifest().select("load_id", "rows", "late_rows")
+
+
+def drift_refused(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
+    """ST4: batches whose schema drifted fail, and the table keeps its rows."""
+    stg = clean_events(raw_events(spark, sf_dir, fixture))
+    target = IncrementalTable(spark, scratch_path(spark, f"stg_drift_{fixture}"))
+    target.append(stg)
+    drifts = {"column added": stg.withColumn("extra", F.lit(1)), "column missing": stg.drop("country"),
+              "type changed": stg.withColumn("miles_amount", F.col("miles_amount").cast("string")),
+              "columns in another order": stg.select(*reversed(stg.columns))}
+    refused = []
+    for name, batch in drifts.items():
+        try:
+            target.append(batch)
+            refused.append((name, False))
+        except SchemaDriftError:
+            refused.append((name, True))
+    rows = target.read().agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(F.inline(F.array(*[F.struct(F.lit(n).alias("drift"), F.lit(r).alias("refused")) for n, r in refused])), "rows")
+
+
 def quarters(df: DataFrame, time_col: str = "event_time") -> list[DataFrame]:
     """The rows in four parts by time, each a quarter of the time range (one aggregate row)."""
     t = F.unix_micros(F.col(time_col))
@@ -73,6 +102,21 @@ def growth_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTab
     return growth
 
 
+def bitmaps_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> ActivityBitmaps:
+    """Four deliveries, the second one late and replayed last; bitmaps follow each load."""
+    base = scratch_path(spark, f"bitmaps_{fixture}")
+    staging, bitmaps = IncrementalTable(spark, f"{base}/stg_events"), ActivityBitmaps(spark, f"{base}/bitmaps", buckets=16)
+    first, second, third, fourth = quarters(clean_events(raw_events(spark, sf_dir, fixture)))
+    for k, part in enumerate((first, third, second, fourth)):
+        staging.append(part, keep_late=True)
+        bitmaps.follow(staging)
+        if k == 1:
+            bitmaps.compact()
+    staging.replay_late()
+    bitmaps.follow(staging)
+    return bitmaps
+
+
 def growth_with_late_rows(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
     """The second delivery comes after the third, so all its rows are late: kept
     aside, replayed at the end, and worked into the report that stood by then."""

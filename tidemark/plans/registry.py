@@ -19,7 +19,7 @@ from tidemark.plans import loads
 from tidemark.plans.models import Models
 from tidemark.session import scratch_epoch
 from tidemark.sources.fixtures import FIXTURES, faulty_tables
-from tidemark.streaming.growth_table import GrowthTable
+from tidemark.streaming.growth_table import LoadFollower
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,12 +72,16 @@ CHECK_QUERIES: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
 LOAD_QUERIES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "stg_events_incremental": loads.incremental_replay,
     "stg_events_stream": loads.stream_replay,
+    "stg_events_rerun": loads.rerun_log,
+    "stg_events_drift": loads.drift_refused,
     "dim_users_stream": loads.dim_stream,
     "stg_events_csv": loads.csv_scan,
     "stg_events_daily": loads.daily_scan,
-    "growth_accounting_by_loads": lambda *a: _by_loads(*a).growth_accounting(),
-    "net_growth_by_loads": lambda *a: _by_loads(*a).net_growth(),
-    "dim_users_by_loads": lambda *a: _by_loads(*a).dim_users(),
+    "growth_accounting_by_loads": lambda *a: _by_loads(loads.growth_by_loads, *a).growth_accounting(),
+    "net_growth_by_loads": lambda *a: _by_loads(loads.growth_by_loads, *a).net_growth(),
+    "dim_users_by_loads": lambda *a: _by_loads(loads.growth_by_loads, *a).dim_users(),
+    "engagement_by_loads": lambda *a: _by_loads(loads.bitmaps_by_loads, *a).engagement(),
+    "cohort_retention_by_loads": lambda *a: _by_loads(loads.bitmaps_by_loads, *a).cohort_retention(),
     "growth_accounting_late": lambda *a: loads.growth_with_late_rows(*a).growth_accounting(),
     "stored_growth_month": loads.stored_growth,
     "layered_sql": loads.layered_sql,
@@ -100,17 +104,17 @@ def _build(spark: SparkSession, sf_dir: str, fixture: str) -> dict[str, DataFram
     return _builds[key]
 
 
-# the growth table that the keys of a log share: its loads are replayed once
-_growth: dict[tuple, GrowthTable] = {}
+# the followers that the keys of a log share: its loads are replayed once
+_followers: dict[tuple, LoadFollower] = {}
 
 
-def _by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
-    key = (*scratch_epoch(spark), sf_dir, fixture)
-    if key not in _growth:
-        for old in [k for k in _growth if k[:2] != key[:2]]:
-            del _growth[old]
-        _growth[key] = loads.growth_by_loads(spark, sf_dir, fixture)
-    return _growth[key]
+def _by_loads(scenario: Callable[..., LoadFollower], spark: SparkSession, sf_dir: str, fixture: str) -> LoadFollower:
+    key = (*scratch_epoch(spark), scenario, sf_dir, fixture)
+    if key not in _followers:
+        for old in [k for k in _followers if k[:2] != key[:2]]:
+            del _followers[old]
+        _followers[key] = scenario(spark, sf_dir, fixture)
+    return _followers[key]
 
 
 def _on_models(fn: Callable[[Models], DataFrame], fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,8 +98,9 @@ def _all_grains(per_grain) -> Column:
     return F.concat(*[of(name) for name in DEFAULT_GRAINS])
 
 
-class GrowthTable:
-    """The user dimension and the growth report, maintained by loads of staged events."""
+class LoadFollower:
+    """What reports kept up to date load by load have in common: a log of loads
+    and compactions, and the folders that count."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         """buckets: folders that a load's users are dealt to by a hash; a later
@@ -115,11 +116,9 @@ class GrowthTable:
         start = max((i for i, e in enumerate(entries) if e["compacts"]), default=0)
         return entries[start:]
 
-    def _folders(self, kind: str, entries: list[dict]) -> list[str]:
-        return [f"{self.path}/{kind}/{e['changes' if kind == 'changes' else 'folder']}" for e in self._live(entries)]
-
     def _read(self, kind: str, schema: T.StructType, entries: list[dict]) -> DataFrame:
-        folders = self._folders(kind, entries)
+        """The rows of one kind of all folders that count; an entry may name a kind's folder apart."""
+        folders = [f"{self.path}/{kind}/{e.get(kind, e['folder'])}" for e in self._live(entries)]
         if not folders:
             return self.spark.createDataFrame([], schema)
         one = [self.spark.read.schema(schema).option("basePath", f).parquet(f) for f in folders]
@@ -128,11 +127,27 @@ class GrowthTable:
             df = df.unionByName(more)
         return df
 
-    # ------------------------------------------------------------------ reads
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int")
+
     def applied(self) -> list[int]:
         """Ids of the loads in the report."""
         return [e["load_id"] for e in self.log.entries() if e["load_id"] is not None]
 
+    def follow(self, staging: IncrementalTable) -> int:
+        """Apply every committed load of a staging table that is not in the report yet."""
+        done = set(self.applied())
+        todo = [x.load_id for x in staging.loads() if x.load_id not in done and x.rows > 0]
+        return sum(self.apply(staging.read_load(i), i) for i in todo)
+
+    def apply(self, load: DataFrame, load_id: int) -> bool:
+        raise NotImplementedError
+
+
+class GrowthTable(LoadFollower):
+    """The user dimension and the growth report, maintained by loads of staged events."""
+
+    # ------------------------------------------------------------------ reads
     def dim_users(self) -> DataFrame:
         users = self._read("users", USERS_SCHEMA, self.log.entries()).select("user_id", "first", "last_seen_at")
         return dim_from_state(merge_first_and_last(users))
@@ -145,12 +160,6 @@ class GrowthTable:
         return net_growth(self.growth_accounting())
 
     # ------------------------------------------------------------------ loads
-    def follow(self, staging: IncrementalTable) -> int:
-        """Apply every committed load of a staging table that is not in the report yet."""
-        done = set(self.applied())
-        todo = [x.load_id for x in staging.loads() if x.load_id not in done and x.rows > 0]
-        return sum(self.apply(staging.read_load(i), i) for i in todo)
-
     def apply(self, load: DataFrame, load_id: int) -> bool:
         """Add one load of staged events; False when it was added before.
         Safe to repeat, and to run from several writers: a writer that finds
@@ -182,8 +191,7 @@ class GrowthTable:
         days = load.groupBy("user_id").agg(
             F.min(F.struct(*FIRST_EVENT_ORDER)).alias("first"), F.max("event_time").alias("last_seen_at"),
             F.max("event_date").alias("last_date"), F.collect_set("event_date").alias("dates"))
-        bucket = F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int").alias("bucket")
-        days.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(path)
+        days.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(path)
         written = self.spark.read.schema(USERS_SCHEMA).parquet(path)
         return written.agg(
             F.min(F.unix_micros("first.event_time")).alias("min_micros"), F.max(F.unix_micros("last_seen_at")).alias("max_micros"),
