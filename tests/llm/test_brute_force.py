@@ -442,3 +442,32 @@ def test_repeated_rows_of_the_mix(spark):
 
 def test_oracles_have_a_query():
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+@pytest.mark.parametrize("text, kind, span", [
+    ("schreib jane ät mail punkt de bitte", "email", "jane ät mail punkt de"),
+    ("escribe a jane (arroba) mail (punto) es hoy", "email", "jane (arroba) mail (punto) es"),
+    ("écris à marie arobase exemple point fr", "email", "marie arobase exemple point fr"),
+    ("ruf +49 eins fünf fünf eins zwei drei vier fünf sechs an", "phone", "+49 eins fünf fünf eins zwei drei vier fünf sechs"),
+    ("llama +34 seis uno dos tres cuatro cinco seis siete ocho", "phone", "+34 seis uno dos tres cuatro cinco seis siete ocho"),
+    ("see \U0001D423\U0001D41A\U0001D427\U0001D41E@\U0001D426\U0001D41A\U0001D422\U0001D425.\U0001D41C\U0001D428\U0001D426", "email",
+     "\U0001D423\U0001D41A\U0001D427\U0001D41E@\U0001D426\U0001D41A\U0001D422\U0001D425.\U0001D41C\U0001D428\U0001D426"),
+])
+def test_disguises_of_four_languages(text, kind, span):
+    base = pii.detect(text)
+    assert [text[a:b] for a, b in pii.disguised(text, base)[kind]] == [span]
+
+
+@pytest.mark.parametrize("text", ["meet me at foo dot com", "look at the point where it is", "ce point est important", "der punkt ist klar",
+                                  "un deux trois", "10² m² at 5", "hola arroba", "uno dos tres amigos"])
+def test_clean_sentences(text):
+    assert not any(pii.disguised(text, pii.detect(text)).values())
+
+
+@pytest.mark.parametrize("unit", [" ", "(", "( ", "one ", "1 one ", "a at ", "a dot ", "(at)a", "@", "a.", "+1(", "dot  ", "ａ"])
+def test_hostile_texts_take_linear_time(unit):
+    import time
+    text = "dot " + unit * (500_000 // len(unit))
+    began = time.process_time()
+    pii.disguised(text, pii.detect(text))
+    assert time.process_time() - began < 10  # some tenths of a second; a quadratic step takes minutes

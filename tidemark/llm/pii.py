@@ -2,14 +2,20 @@
 
 Four kinds are found in the text as it stands: e-mail addresses, IPv4
 addresses, card numbers (Luhn) and phone numbers.  A chain of transducers then
-rewrites disguises - homoglyphs and full-width forms to ASCII, spelled digits
-to digits, "(at)" / " at " and "(dot)" / " dot " to their signs - while every
-output character keeps the source span it came from.  The same detectors run
-on the rewritten text, and a span that rests on a rewritten character and
-meets no plain span of its kind is mapped back and added.
+rewrites disguises - look-alike and compatibility characters to ASCII, spelled
+digits to digits, "(at)" / " arroba " and "(dot)" / " punkt " to their signs, in
+English, German, French and Spanish - while every output character keeps the
+source span it came from.  The same detectors run on the rewritten text, and a
+span that rests on a rewritten character and meets no plain span of its kind is
+mapped back and added.
 
-A bare " at " is a sign only if a dot of the name or the host is disguised too:
-"jane at example.com" reads like "meet us at example.com" and gives no span.
+A bare English " at " is a sign only if a character of the name or the host is
+disguised too, the host ends in a known top-level domain and the name is not one
+of the words that stand before "at" in a sentence: "jane at example.com" reads
+like "meet us at example.com", and "meet me at foo dot com" names no person.
+
+Every step is linear in the text's length: patterns that begin with white space
+start only where none precedes, and repeats that cannot give back are possessive.
 
 Offsets count code points; ends are exclusive.  The rewriting runs only on
 texts that hold something to rewrite, and always on the whole of such a text.
@@ -23,8 +29,11 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -50,39 +59,55 @@ _LOOKALIKES = {
     "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "․": ".", "。": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", " ": " ", " ": " ",
 }
-# fixed values: spelled digits
-_DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
-                "seven": "7", "eight": "8", "nine": "9"}
+# fixed values: spelled digits of the four languages
+_DIGIT_WORDS = {w: str(d) for d, words in enumerate((
+    "zero null zéro cero", "one eins un uno", "two zwei deux dos", "three drei trois tres", "four vier quatre cuatro",
+    "five fünf cinq cinco", "six sechs seis", "seven sieben sept siete", "eight acht huit ocho", "nine neun neuf nueve"))
+    for w in words.split()}
+# fixed values: words for the signs, and those that are nothing else in a sentence
+_AT_WORDS = ("at", "ät", "arroba", "arobase", "arrobase", "klammeraffe")
+_DOT_WORDS = ("dot", "punkt", "point", "punto")
+# fixed values: words before a bare "at" that are no name
+_NO_NAMES = frozenset("""a am are arrive arrived be been begin begins call day end go him her here home is it life live look looked looking
+looks made me meet meeting met not now off on one open out party people place see sent shop start stay them there time today us visit was we
+were work works you""".split())
+# fixed values: top-level domains accepted after a bare "at"
+_DOMAINS = frozenset("com org net edu gov int info biz io eu de fr es at ch uk us ca mx ar be nl it co me app dev test example".split())
 
 
 def _homoglyphs() -> dict[int, str]:
-    """One character for one: the look-alikes, full-width ASCII, and every digit of other scripts."""
-    out = {ord(k): v for k, v in _LOOKALIKES.items()}
-    out |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
-    for c in [*range(0x80, 0x3000), *range(0x1D7CE, 0x1D800)]:
-        if unicodedata.category(chr(c)) == "Nd":
+    """One character for one: those whose compatibility form (NFKC) is one ASCII
+    character, digits of other scripts, and the look-alikes above.  Raised and
+    lowered digits and letters stay, as they do not read like plain ones."""
+    out: dict[int, str] = {}
+    for c in [*range(0x80, 0xD800), *range(0xF900, 0x20000)]:
+        form = unicodedata.normalize("NFKC", chr(c))
+        if len(form) == 1 and form.isascii() and not unicodedata.decomposition(chr(c)).startswith(("<super>", "<sub>")):
+            out[c] = form
+        elif unicodedata.category(chr(c)) == "Nd":
             out[c] = str(unicodedata.digit(chr(c)))
-    return out
+    return out | {ord(k): v for k, v in _LOOKALIKES.items()}
+
+
+def _one_of(words) -> str:
+    return "|".join(map(re.escape, sorted(words, key=len, reverse=True)))
 
 
 _GLYPHS = _homoglyphs()
-_ANY_GLYPH = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_GLYPHS)))) + "​‌‍⁠﻿]")
-_INVISIBLE = re.compile("[​‌‍⁠﻿]+")
-_SPELLED = "|".join(_DIGIT_WORDS)
-_DIGIT_WORD = re.compile(rf"(?<![a-z0-9])(?:{_SPELLED})(?![a-z0-9])", re.I)
+_INVISIBLE_SET = "\u200b\u200c\u200d\u2060\ufeff"
+_ANY_GLYPH = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_GLYPHS)))) + _INVISIBLE_SET + "]")
+_INVISIBLE = re.compile(f"[{_INVISIBLE_SET}]+")
+_SPELLED = rf"(?:{_one_of(_DIGIT_WORDS)})(?!\w)"
+_DIGIT_WORD = re.compile(rf"(?<!\w){_SPELLED}", re.I)
 #: Two spelled digits in a row, on lower-cased text: a text without is left alone.
-_TWO_SPELLED = re.compile(rf"(?:{_SPELLED})[\s,-]+(?:{_SPELLED})(?![a-z0-9])")
-_JOIN = re.compile(rf"(?<![a-z0-9])(?:{_SPELLED})(?:[\s,-]+(?:{_SPELLED})(?![a-z0-9]))+", re.I)
+_TWO_SPELLED = re.compile(rf"(?<!\w){_SPELLED}[\s,-]++{_SPELLED}")
+_JOIN = re.compile(rf"(?<!\w){_SPELLED}(?:[\s,-]++{_SPELLED})++", re.I)
 #: A spelled digit beside a numeral.
-_SINGLE = re.compile(rf"(?<![a-z0-9])(?:(?<=[0-9][\s-])(?:{_SPELLED})(?![a-z0-9])|(?:{_SPELLED})(?=[\s-][0-9]))", re.I)
-_SIGN_AT = r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*"
-_SIGN_DOT = r"\s*[(\[{<]\s*(?:dot|punkt|point|punto|\.)\s*[)\]}>]\s*|\s+dot\s+"
-_HOST = rf"[A-Za-z0-9-]+(?:(?:{_SIGN_DOT}|\.)[A-Za-z0-9-]+)+"
-_AT = re.compile(rf"(?P<at>{_SIGN_AT})(?={_HOST})|(?P<word>\s+at\s+)(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:{_SIGN_DOT})[A-Za-z0-9-]+)", re.I)
-#: " at " before a plain host, after a name with a disguised dot.
-_NAME_AT = re.compile(rf"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+(?:(?:{_SIGN_DOT})[A-Za-z0-9._%+-]+)+)\s+at\s+(?={_HOST})", re.I)
-_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:{_SIGN_DOT})(?=[A-Za-z0-9])", re.I)
-_BRACKETED = re.compile(r"[(\[{<]\s*(?:at|@|dot|punkt|point|punto|\.)\s*[)\]}>]")
+_SINGLE = re.compile(rf"(?<!\w)(?:(?<=[0-9][\s-]){_SPELLED}|{_SPELLED}(?=[\s-][0-9]))", re.I)
+_DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s*+[(\[{{<]\s*+(?:{_one_of(_DOT_WORDS)}|\.)\s*+[)\]}}>]\s*+|\s++(?:{_one_of(_DOT_WORDS)})\s++)(?=[A-Za-z0-9])", re.I)
+_AT = re.compile(rf"(?<!\s)(?:\s*+[(\[{{<]\s*+(?:{_one_of(_AT_WORDS)}|@)\s*+[)\]}}>]\s*+|\s++(?P<word>{_one_of(_AT_WORDS)})\s++)(?=[A-Za-z0-9-])", re.I)
+_BRACKETED = re.compile(rf"[(\[{{<]\s*+(?:{_one_of(_AT_WORDS + _DOT_WORDS)}|[@.])\s*+[)\]}}>]")
+_CLEAR_WORDS = ("dot", "punkt", *_AT_WORDS[1:])
 
 Span = tuple[int, int]
 
@@ -131,54 +156,79 @@ class _Tape:
 
     def __init__(self, text: str):
         self.text = text
-        self.start = list(range(len(text)))
-        self.end = list(range(1, len(text) + 1))
-        self.changed = bytearray(len(text))
+        self.start = np.arange(len(text), dtype=np.int32)
+        self.end = self.start + 1
+        self.changed = np.zeros(len(text), bool)
 
     def translate(self, table: dict[int, str]) -> None:
         """One character for one."""
         new = self.text.translate(table)
-        for i, (a, b) in enumerate(zip(self.text, new)):
-            if a != b:
-                self.changed[i] = 1
+        self.changed |= _points(new) != _points(self.text)
         self.text = new
 
     def replace(self, pattern: re.Pattern, rewrite) -> None:
-        """Every match becomes rewrite(match); its characters share the match's source span."""
+        """Every match becomes rewrite(match), unless that is None; its characters share the match's source span."""
         text: list[str] = []
-        start: list[int] = []
-        end: list[int] = []
-        changed = bytearray()
+        first, last, size = array("q"), array("q"), array("q")
         at = 0
         for m in pattern.finditer(self.text):
-            a, b = m.span()
-            text.append(self.text[at:a])
-            start += self.start[at:a]
-            end += self.end[at:a]
-            changed += self.changed[at:a]
             new = rewrite(m)
-            text.append(new)
-            start += [self.start[a]] * len(new)
-            end += [self.end[b - 1]] * len(new)
-            changed += b"\1" * len(new)
-            at = b
-        if at:
-            self.text = "".join(text) + self.text[at:]
-            self.start, self.end = start + self.start[at:], end + self.end[at:]
-            self.changed = changed + self.changed[at:]
+            if new is not None:
+                a, b = m.span()
+                text += (self.text[at:a], new)
+                first.append(a)
+                last.append(b)
+                size.append(len(new))
+                at = b
+        if not text:
+            return
+        a, b, n = (np.array(x, np.int64) for x in (first, last, size))
+        edge = np.zeros(len(self.text) + 1, np.int8)
+        np.add.at(edge, a, 1)
+        np.add.at(edge, b, -1)
+        keep = np.cumsum(edge[:-1], dtype=np.int8) == 0
+        where = np.repeat(a - (np.cumsum(b - a) - (b - a)), n)
+        self.start = np.insert(self.start[keep], where, np.repeat(self.start[a], n))
+        self.end = np.insert(self.end[keep], where, np.repeat(self.end[b - 1], n))
+        self.changed = np.insert(self.changed[keep], where, True)
+        self.text = "".join(text) + self.text[at:]
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def _spelled_run(m: re.Match) -> str:
     return "".join(_DIGIT_WORDS[w.group().lower()] for w in _DIGIT_WORD.finditer(m.group()))
 
 
+def _at_sign(tape: _Tape):
+    """Whether a disguised at sign stands between a name and a host; dots are rewritten by now."""
+    def rewrite(m: re.Match) -> str | None:
+        text, start = m.string, m.start()
+        while start > 0 and text[start - 1] in _LOCAL:
+            start -= 1
+        host = _DOMAIN.match(text, m.end()) if start < m.start() else None
+        if not host:
+            return None
+        if m["word"] and m["word"].lower() == "at":
+            name = text[start:m.start()].lower()
+            if name in _NO_NAMES or host.group().rsplit(".", 1)[1].lower() not in _DOMAINS:
+                return None
+            if not (tape.changed[start:m.start()].any() or tape.changed[m.end():host.end()].any()):
+                return None
+        return "@"
+
+    return rewrite
+
+
 def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
     """Further spans that show only after rewriting, in source offsets."""
     none: dict[str, list[Span]] = {k: [] for k in KINDS}
     low = text.lower()
     glyphs = not text.isascii() and bool(_ANY_GLYPH.search(text))
     spelled = any(w in low for w in _DIGIT_WORDS) and bool(_TWO_SPELLED.search(low) or _SINGLE.search(low))
-    signs = "dot" in low or any(b in low for b in "([{<") and bool(_BRACKETED.search(low))
+    signs = any(w in low for w in _CLEAR_WORDS) or any(b in low for b in "([{<") and bool(_BRACKETED.search(low))
     if not (glyphs or spelled or signs):
         return none
     tape = _Tape(text)
@@ -189,14 +239,15 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
         tape.replace(_JOIN, _spelled_run)
         tape.replace(_SINGLE, _spelled_run)
     if signs or glyphs:
-        tape.replace(_NAME_AT, lambda m: _DOT.sub(".", m["name"]) + "@")
-        tape.replace(_AT, lambda m: "@")
         tape.replace(_DOT, lambda m: ".")
+        tape.replace(_AT, _at_sign(tape))
     for kind, spans in detect(tape.text).items():
+        known = sorted(plain[kind])
         for a, b in spans:
-            if any(tape.changed[a:b]):
-                s, e = tape.start[a], tape.end[b - 1]
-                if not any(x < e and s < y for x, y in plain[kind]):
+            if tape.changed[a:b].any():
+                s, e = int(tape.start[a]), int(tape.end[b - 1])
+                before = bisect_left(known, (e, e))  # plain spans do not overlap: only the last that begins before e can meet
+                if not before or known[before - 1][1] <= s:
                     none[kind].append((s, e))
     return none
 
