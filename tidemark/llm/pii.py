@@ -95,19 +95,19 @@ def _one_of(words) -> str:
 
 _GLYPHS = _homoglyphs()
 _INVISIBLE_SET = "\u200b\u200c\u200d\u2060\ufeff"
-_ANY_GLYPH = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_GLYPHS)))) + _INVISIBLE_SET + "]")
+_IS_GLYPH = np.zeros(max(_GLYPHS) + 2, bool)
+_IS_GLYPH[[*_GLYPHS, *map(ord, _INVISIBLE_SET)]] = True
 _INVISIBLE = re.compile(f"[{_INVISIBLE_SET}]+")
 _SPELLED = rf"(?:{_one_of(_DIGIT_WORDS)})(?!\w)"
 _DIGIT_WORD = re.compile(rf"(?<!\w){_SPELLED}", re.I)
-#: Two spelled digits in a row, on lower-cased text: a text without is left alone.
-_TWO_SPELLED = re.compile(rf"(?<!\w){_SPELLED}[\s,-]++{_SPELLED}")
 _JOIN = re.compile(rf"(?<!\w){_SPELLED}(?:[\s,-]++{_SPELLED})++", re.I)
 #: A spelled digit beside a numeral.
 _SINGLE = re.compile(rf"(?<!\w)(?:(?<=[0-9][\s-]){_SPELLED}|{_SPELLED}(?=[\s-][0-9]))", re.I)
 _DOT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s*+[(\[{{<]\s*+(?:{_one_of(_DOT_WORDS)}|\.)\s*+[)\]}}>]\s*+|\s++(?:{_one_of(_DOT_WORDS)})\s++)(?=[A-Za-z0-9])", re.I)
 _AT = re.compile(rf"(?<!\s)(?:\s*+[(\[{{<]\s*+(?:{_one_of(_AT_WORDS)}|@)\s*+[)\]}}>]\s*+|\s++(?P<word>{_one_of(_AT_WORDS)})\s++)(?=[A-Za-z0-9-])", re.I)
 _BRACKETED = re.compile(rf"[(\[{{<]\s*+(?:{_one_of(_AT_WORDS + _DOT_WORDS)}|[@.])\s*+[)\]}}>]")
-_CLEAR_WORDS = ("dot", "punkt", *_AT_WORDS[1:])
+_CLEAR_WORDS = frozenset(("dot", "punkt", *_AT_WORDS[1:]))
+_WORD = re.compile(r"\w+")
 
 Span = tuple[int, int]
 
@@ -198,6 +198,15 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _may_spell(words: list[str]) -> bool:
+    """Whether a spelled digit stands beside another one or a numeral."""
+    n = len(words)
+    for i in [i for i, w in enumerate(words) if w in _DIGIT_WORDS]:
+        if i + 1 < n and (words[i + 1] in _DIGIT_WORDS or words[i + 1][0].isdigit()) or i and words[i - 1][-1].isdigit():
+            return True
+    return False
+
+
 def _spelled_run(m: re.Match) -> str:
     return "".join(_DIGIT_WORDS[w.group().lower()] for w in _DIGIT_WORD.finditer(m.group()))
 
@@ -226,9 +235,10 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
     """Further spans that show only after rewriting, in source offsets."""
     none: dict[str, list[Span]] = {k: [] for k in KINDS}
     low = text.lower()
-    glyphs = not text.isascii() and bool(_ANY_GLYPH.search(text))
-    spelled = any(w in low for w in _DIGIT_WORDS) and bool(_TWO_SPELLED.search(low) or _SINGLE.search(low))
-    signs = any(w in low for w in _CLEAR_WORDS) or any(b in low for b in "([{<") and bool(_BRACKETED.search(low))
+    words = _WORD.findall(low)
+    glyphs = not text.isascii() and bool(_IS_GLYPH[np.minimum(_points(text), len(_IS_GLYPH) - 1)].any())
+    spelled = _may_spell(words)
+    signs = not _CLEAR_WORDS.isdisjoint(words) or any(b in low for b in "([{<") and bool(_BRACKETED.search(low))
     if not (glyphs or spelled or signs):
         return none
     tape = _Tape(text)
