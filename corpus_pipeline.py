@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import contaminated_words
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.mixing import repeated
+from tidemark.llm.store import stored
 from tidemark.llm.token_files import token_files
 from tidemark.llm.toxicity import classified
 from tidemark.session import scratch_path
@@ -27,17 +28,41 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return classified(rows, labels).where("predicted = 0").select("doc.*")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(row, doc): every row with a number of its own, so that a stage decides on
+    rows, whatever their ids.  docs are the stage's stored input: its scan
+    numbers the rows alike each time it is read."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"))
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    """Rows as the operators take them, under their numbers."""
+    return rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    return rows.join(gone, "row", "left_anti").select("doc.*")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: its smallest doc_id."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One document of each group of near duplicates stays: of the smallest
+    doc_id (null after all others), of equal ones the first row.  Rows with
+    equal or null ids are documents of their own."""
+    rows = _rows(docs)
+    found = stored(near_duplicates(_texts(rows)).select(F.col("doc_id").alias("row"), "component_id", "kept"), "pipeline-groups")
+    groups = found.join(found.where("not kept").select("component_id").distinct(), "component_id", "left_semi")
+    members = groups.join(rows.select("row", F.col("doc.doc_id").alias("id")), "row").select(
+        "component_id", F.struct(F.col("id").isNull().alias("last"), "id", "row").alias("place"))
+    stays = members.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = members.join(stays, "component_id").where("place.row <> first.row").select("place.row")
+    return _without(rows, gone)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = contaminated_words(docs, items).where("contaminated").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    rows = _rows(docs)
+    return _without(rows, contaminated_words(_texts(rows), items).where("contaminated").select(F.col("doc_id").alias("row")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -292,6 +292,34 @@ def test_token_files_round_trip(spark, texts):
         at += len(ids)
 
 
+def test_every_shard_is_read_by_a_task_of_its_own(spark, tmp_path):
+    from pyspark.sql import functions as F
+    docs = small_docs(spark)
+    many = docs.union(docs.select((F.col("doc_id") + 100_000).alias("doc_id"), *docs.columns[1:])).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(many, str(tmp_path / "tokens"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    shards = manifest.count()
+    assert shards >= 3
+    read = token_files.read_documents(manifest, str(tmp_path / "tokens")).withColumn("task", F.spark_partition_id())
+    assert read.select("task").distinct().count() >= shards - 1 and read.count() == many.count()
+
+
+def test_rows_of_one_id_fill_several_shards(spark, tmp_path):
+    from pyspark.sql import functions as F
+    docs = small_docs(spark).withColumn("doc_id", F.lit(7).cast("long"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(docs, str(tmp_path / "tokens"))
+        assert manifest.count() >= 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = token_files.read_documents(manifest, str(tmp_path / "tokens")).toPandas().sort_values("start")
+    assert len(got) == docs.count() and (got["start"].to_numpy()[1:] == got["n_tokens"].cumsum().to_numpy()[:-1]).all()
+
+
 def test_encoder_splits_as_the_tokenizer_does():
     import random
     rng = random.Random(1)

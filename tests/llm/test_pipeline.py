@@ -48,8 +48,32 @@ def test_clashing_columns_pass_through(spark):
         assert all(r[n] == r["doc_id"] + 7 for r in out.collect() for n in names)
 
 
-def test_rows_without_id_stay(spark):
-    rows = [(None, "a few words of its own", "en", "s", 1), (None, "and another text entirely", "en", "s", 1)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+def _docs(spark, tmp_path, rows):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _left(spark, stage, docs):
+    return sorted(((r["doc_id"], r["text"]) for r in stage(spark, docs, SMALL).collect()), key=str)
+
+
+def test_clean_rows_without_id_stay(spark, tmp_path):
+    docs = _docs(spark, tmp_path, [(None, "a few words of its own"), (None, "and another text entirely"), (None, None), (None, None), (3, "")])
     for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.drop_contaminated):
-        assert stage(spark, docs, SMALL).count() == 2
+        assert stage(spark, docs, SMALL).count() == 5
+
+
+def test_copies_with_null_and_repeated_ids_go(spark, tmp_path):
+    text, other = "one and the same text of more than five words", "a text that shares its id with a copy of others"
+    docs = _docs(spark, tmp_path, [(1, text), (1, text), (None, text), (None, text), (2, text), (2, other)])
+    assert _left(spark, corpus_pipeline.drop_near_duplicates, docs) == [(1, text), (2, other)]
+    nulls = _docs(spark, tmp_path / "n", [(None, text), (None, text), (None, other)])
+    assert _left(spark, corpus_pipeline.drop_near_duplicates, nulls) == sorted([(None, text), (None, other)], key=str)
+
+
+def test_contaminated_rows_go_and_no_others(spark, tmp_path):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first()["text"]
+    clean = "a clean text with words that no benchmark item has in a row at all"
+    docs = _docs(spark, tmp_path, [(None, item), (None, f"x {item} y"), (5, item), (5, clean), (None, clean), (6, None)])
+    assert _left(spark, corpus_pipeline.drop_contaminated, docs) == sorted([(5, clean), (None, clean), (6, None)], key=str)

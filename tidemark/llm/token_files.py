@@ -15,6 +15,9 @@ that stands between two other characters, so a text is cut at its spaces and
 each different piece is encoded once per worker; a text with a space inside or
 at the end of a longer run of white space is encoded whole.
 
+Rows of one doc_id, or without one, are ordered by their text's length, hash and text
+and may fill several shards.
+
 Defined results: null and empty texts are the end id alone.  Repeated rows are
 written each.  Null doc_ids come first.  A special token's string inside a
 text is ordinary text.  Extra columns are ignored; an empty table gives no
@@ -237,8 +240,8 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY) ->
     """Write the shards below folder (shared by all executors); return the
     manifest (shard, name, n_docs, n_tokens, base): base is the number of ids
     in all shards before."""
-    ordered = text_input(docs).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.length("text"), "text")
+    place = [F.col("doc_id").asc_nulls_first(), F.length("text"), F.xxhash64("text"), F.col("text")]
+    ordered = text_input(docs).repartitionByRange(*place[:3]).sortWithinPartitions(*place)
     manifest = stored(ordered.mapInArrow(_write(folder, vocabulary), "shard long, name string, n_docs long, n_tokens long"),
                       "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
@@ -287,7 +290,8 @@ def _read(folder: str):
 
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
-    each = manifest.select("name", "base").repartition("name")
+    shards = max(1, manifest.count())  # one row per shard; a task for each, which no coalescing joins
+    each = manifest.select("shard", "name", "base").repartitionByRange(shards, "shard").select("name", "base")
     return each.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
