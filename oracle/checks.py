@@ -217,6 +217,40 @@ def _invariant(fixture: str, name: str) -> str:
     return f"from ({INVARIANTS[name][1].format(**tables)})"
 
 
+# the comparisons that also tell of months that one side lacks, on the faulty
+# log's tables with such months taken out
+FULL = {
+    "dq_cohort_size_full": """
+        with months as (
+            select date_trunc('month', first_seen_at)::date as cohort_month, count(*) as dim_size, null::bigint as rpt_size
+            from changed_dim_users where month(first_seen_at) <> 1 group by all
+            union all select cohort_month, null, max(cohort_size) from changed_rpt_cohort_retention
+            where month(cohort_month) <> 2 group by cohort_month)
+        select cohort_month, max(dim_size) as dim_size, max(rpt_size) as rpt_size,
+               coalesce(max(dim_size), 0) - coalesce(max(rpt_size), 0) as diff
+        from months group by cohort_month having max(dim_size) is distinct from max(rpt_size)""",
+    "dq_engagement_active_full": """
+        with months as (
+            select month, active_users as eng_active, null::bigint as fct_active
+            from changed_rpt_engagement where event_type = 'all' and month(month) <> 3
+            union all select date_trunc('month', event_date)::date, null, count(distinct user_id)
+            from fct_events where month(event_date) <> 2 group by 1)
+        select month, max(eng_active) as eng_active, max(fct_active) as fct_active,
+               coalesce(max(eng_active), 0) - coalesce(max(fct_active), 0) as diff
+        from months group by month having max(eng_active) is distinct from max(fct_active)""",
+    "dq_growth_active_full": """
+        with months as (
+            select period_start, sum(user_count)::bigint as ga_active_users, null::bigint as fct_active_users
+            from changed_rpt_growth_accounting
+            where period_grain = 'month' and cohort_type <> 'churned' and month(period_start) <> 3 group by period_start
+            union all select date_trunc('month', event_date)::date, null, count(distinct user_id)
+            from fct_events where month(event_date) <> 2 group by 1)
+        select period_start, max(ga_active_users) as ga_active_users, max(fct_active_users) as fct_active_users,
+               coalesce(max(ga_active_users), 0) - coalesce(max(fct_active_users), 0) as diff
+        from months group by period_start having max(ga_active_users) is distinct from max(fct_active_users)""",
+}
+
+
 def check_sql(fixture: str) -> dict[str, str]:
     """key -> SQL of the check keys over a fixture's tables."""
     changed = "".join(f",\nchanged_{t} as ({sql})" for t, sql in CHANGES.items()) if fixture == "b" else ""
@@ -236,4 +270,6 @@ def check_sql(fixture: str) -> dict[str, str]:
         body = f"({out[name]})" if name == "dq_no_double_count" else f"({_invariant(fixture, name)})"
         counts.append(f"select {_named((i, table, '', 'singular', '', name))}, count(*) as failing_rows from {body}")
     out["dq_summary"] = with_models(fixture, join(counts), extra=changed)
+    if fixture == "b":
+        out |= {n: with_models(fixture, f"from ({sql})", extra=changed) for n, sql in FULL.items()}
     return out

@@ -117,3 +117,16 @@ def test_singular_checks_pass_on_both_fixtures(spark):
         tables = Models.from_fixture(spark, SF_SMALL, fixture).tables()
         for name in quality.SINGULAR:
             assert quality.singular_failures(name, tables).count() == 0, (fixture, name)
+
+
+def test_months_that_one_side_lacks(spark):
+    """Inner (the reference's form): compared where both are.  Full: told apart with nulls."""
+    from tidemark.operators.quality import engagement_active_mismatch
+
+    eng = spark.sql("select date'2024-01-01' as month, 'all' as event_type, 2L as active_users union all "
+                    "select date'2024-02-01', 'all', 1L union all select date'2024-02-01', 'like', 9L")
+    fct = spark.sql("select date'2024-01-05' as event_date, 'u1' as user_id union all select date'2024-03-05', 'u1'")
+    inner = {str(r.month): (r.eng_active, r.fct_active, r["diff"]) for r in engagement_active_mismatch(eng, fct).collect()}
+    full = {str(r.month): (r.eng_active, r.fct_active, r["diff"]) for r in engagement_active_mismatch(eng, fct, full=True).collect()}
+    assert inner == {"2024-01-01": (2, 1, 1)}
+    assert full == inner | {"2024-02-01": (1, None, 1), "2024-03-01": (None, 1, -1)}

@@ -15,6 +15,7 @@ duplicated values for uniqueness.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -290,14 +291,23 @@ def retention_m0(ret: DataFrame) -> DataFrame:
             .select("cohort_month", "months_since_first", "retention_pct"))
 
 
-def cohort_size_mismatch(dim: DataFrame, ret: DataFrame) -> DataFrame:
+def _compared(left: DataFrame, right: DataFrame, key: str, a: str, b: str, full: bool) -> DataFrame:
+    """Keys whose values differ.  The reference joins inner, so a key that one
+    side lacks is not compared; with ``full`` it is a failing row, the missing
+    value null, the difference against 0."""
+    if not full:
+        return (left.join(right, key, "inner").where(F.col(a) != F.col(b))
+                .select(key, a, b, (F.col(a) - F.col(b)).alias("diff")))
+    zero = F.lit(0)
+    return (left.join(right, key, "full").where(~F.col(a).eqNullSafe(F.col(b)))
+            .select(key, a, b, (F.coalesce(F.col(a), zero) - F.coalesce(F.col(b), zero)).alias("diff")))
+
+
+def cohort_size_mismatch(dim: DataFrame, ret: DataFrame, full: bool = False) -> DataFrame:
     dim_sizes = (dim.groupBy(month_start("first_seen_at").alias("cohort_month"))
                  .agg(F.count(F.lit(1)).alias("dim_size")))
     rpt_sizes = ret.groupBy("cohort_month").agg(F.max("cohort_size").alias("rpt_size"))
-    return (dim_sizes.join(rpt_sizes, "cohort_month", "inner")
-            .where(F.col("dim_size") != F.col("rpt_size"))
-            .select("cohort_month", "dim_size", "rpt_size",
-                    (F.col("dim_size") - F.col("rpt_size")).alias("diff")))
+    return _compared(dim_sizes, rpt_sizes, "cohort_month", "dim_size", "rpt_size", full)
 
 
 def _fct_monthly_active(fct: DataFrame, name: str, key: str) -> DataFrame:
@@ -307,23 +317,17 @@ def _fct_monthly_active(fct: DataFrame, name: str, key: str) -> DataFrame:
             .groupBy(key).agg(F.count(F.lit(1)).alias(name)))
 
 
-def engagement_active_mismatch(eng: DataFrame, fct: DataFrame) -> DataFrame:
+def engagement_active_mismatch(eng: DataFrame, fct: DataFrame, full: bool = False) -> DataFrame:
     e = eng.where(F.col("event_type") == "all").select("month", F.col("active_users").alias("eng_active"))
     f = _fct_monthly_active(fct, "fct_active", "month")
-    return (e.join(f, "month", "inner")
-            .where(F.col("eng_active") != F.col("fct_active"))
-            .select("month", "eng_active", "fct_active",
-                    (F.col("eng_active") - F.col("fct_active")).alias("diff")))
+    return _compared(e, f, "month", "eng_active", "fct_active", full)
 
 
-def growth_active_mismatch(ga: DataFrame, fct: DataFrame) -> DataFrame:
+def growth_active_mismatch(ga: DataFrame, fct: DataFrame, full: bool = False) -> DataFrame:
     g = (ga.where((F.col("period_grain") == "month") & F.col("cohort_type").isin("new", "retained", "resurrected"))
          .groupBy("period_start").agg(F.sum("user_count").cast("long").alias("ga_active_users")))
     f = _fct_monthly_active(fct, "fct_active_users", "period_start")
-    return (g.join(f, "period_start", "inner")
-            .where(F.col("ga_active_users") != F.col("fct_active_users"))
-            .select("period_start", "ga_active_users", "fct_active_users",
-                    (F.col("ga_active_users") - F.col("fct_active_users")).alias("diff")))
+    return _compared(g, f, "period_start", "ga_active_users", "fct_active_users", full)
 
 
 def net_balance_mismatch(net: DataFrame) -> DataFrame:
@@ -353,6 +357,14 @@ def singular_failures(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     }[name]()
 
 
+# D7 to D9 in the form that also tells of months that one side lacks
+FULL: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "dq_cohort_size_full": lambda t: cohort_size_mismatch(t["dim_users"], t["rpt_cohort_retention"], full=True),
+    "dq_engagement_active_full": lambda t: engagement_active_mismatch(t["rpt_engagement"], t["fct_events"], full=True),
+    "dq_growth_active_full": lambda t: growth_active_mismatch(t["rpt_growth_accounting"], t["fct_events"], full=True),
+}
+
+
 # ---------------------------------------------------------------- whole suite
 
 def _count_rows(df: DataFrame, check: Check, weight: str | None = None) -> DataFrame:

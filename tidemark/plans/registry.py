@@ -18,7 +18,7 @@ from tidemark.operators.value_flow import money_rounded
 from tidemark.plans import loads
 from tidemark.plans.models import Models
 from tidemark.session import scratch_epoch
-from tidemark.sources.fixtures import FIXTURES, faulty_tables
+from tidemark.sources.fixtures import FIXTURES, faulty_tables, months_missing
 from tidemark.streaming.growth_table import LoadFollower
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,4 +139,6 @@ def queries() -> dict[str, Query]:
     for fixture in (*FIXTURES, "b"):
         for key, fn in CHECK_QUERIES.items():
             out[key + SUFFIX[fixture]] = partial(_on_build, fn, fixture)
+    for key, fn in quality.FULL.items():  # sound tables lack no month: on the faulty log alone
+        out[key + SUFFIX["b"]] = partial(_on_build, lambda t, fn=fn: fn(months_missing(t)), "b")
     return out

@@ -154,6 +154,18 @@ def faulty_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def months_missing(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The faulty tables, each side of a comparison without a month that the
+    other has (the faulty log's events lie in January to March)."""
+    def without(name: str, column: str, month: int) -> DataFrame:
+        return tables[name].where(F.month(column) != month)
+
+    return {**tables, "dim_users": without("dim_users", "first_seen_at", 1),
+            "rpt_cohort_retention": without("rpt_cohort_retention", "cohort_month", 2),
+            "fct_events": without("fct_events", "event_date", 2), "rpt_engagement": without("rpt_engagement", "month", 3),
+            "rpt_growth_accounting": without("rpt_growth_accounting", "period_start", 3)}
+
+
 def raw_events_o(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
