@@ -220,6 +220,11 @@ def row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row-predicate checks of one table in a single aggregate (one scan)."""
     counts = df.agg(*[F.count(F.when(failing_predicate(c), F.lit(1))).alias(f"c{c.check_id}")
                       for c in checks])
+    return named_counts(counts, checks)
+
+
+def named_counts(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from a single row of counts, one column each."""
     rows = F.array(*[F.struct(*_meta(c), F.col(f"c{c.check_id}").cast("long").alias("failing_rows"))
                      for c in checks])
     return counts.select(F.inline(rows))
@@ -260,7 +265,7 @@ def _listing(tables: dict[str, DataFrame], kind: str) -> DataFrame:
                 "accepted_values": lambda: rejected_values(df, c),
                 "relationships": lambda: orphan_keys(df, tables[c.to_table], c)}[kind]()
         parts.append(body.select(*_meta(c)[:1], *_meta(c)[3:], "value", "n_records"))
-    return _union(parts)
+    return union_all(parts)
 
 
 def unique_failures(tables: dict[str, DataFrame]) -> DataFrame:
@@ -281,7 +286,7 @@ def row_check_summary(tables: dict[str, DataFrame], kinds=ROW_KINDS) -> DataFram
         checks = [c for c in COLUMN_CHECKS if c.table == table and c.kind in kinds]
         if checks:
             parts.append(row_check_counts(tables[table], checks))
-    return _union(parts)
+    return union_all(parts)
 
 
 # ---------------------------------------------------------------- singular checks
@@ -367,7 +372,7 @@ FULL: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
 
 # ---------------------------------------------------------------- whole suite
 
-def _count_rows(df: DataFrame, check: Check, weight: str | None = None) -> DataFrame:
+def count_rows(df: DataFrame, check: Check, weight: str | None = None) -> DataFrame:
     n = F.sum(weight) if weight else F.count(F.lit(1))
     return df.agg(F.coalesce(n, F.lit(0)).cast("long").alias("failing_rows")).select(
         *_meta(check), "failing_rows")
@@ -378,15 +383,15 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [row_check_summary(tables)]
     for c in COLUMN_CHECKS:
         if c.kind == "unique":
-            parts.append(_count_rows(duplicate_values(tables[c.table], c), c))
+            parts.append(count_rows(duplicate_values(tables[c.table], c), c))
         elif c.kind == "relationships":
-            parts.append(_count_rows(orphan_keys(tables[c.table], tables[c.to_table], c), c, "n_records"))
+            parts.append(count_rows(orphan_keys(tables[c.table], tables[c.to_table], c), c, "n_records"))
     for c in SINGULAR_CHECKS:
-        parts.append(_count_rows(singular_failures(c.check_name, tables), c))
-    return _union(parts)
+        parts.append(count_rows(singular_failures(c.check_name, tables), c))
+    return union_all(parts)
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
+def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -21,6 +21,7 @@ from tidemark.sources.raw_events import read_raw_csv, read_raw_daily, write_raw_
 from tidemark.streaming.activity_bitmaps import ActivityBitmaps
 from tidemark.streaming.growth_table import GrowthTable
 from tidemark.streaming.incremental import IncrementalTable, SchemaDriftError
+from tidemark.streaming.load_checks import LoadChecks
 from tidemark.streaming.stream import dim_users_stream, read_dim_users, stage_events_stream
 
 
@@ -117,6 +118,24 @@ def bitmaps_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> Activity
     return bitmaps
 
 
+def checks_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> LoadChecks:
+    """Four deliveries, the second one late and replayed last; the suite's state
+    follows each load, and is compacted once between."""
+    base = scratch_path(spark, f"checks_{fixture}")
+    staging = IncrementalTable(spark, f"{base}/stg_events")
+    checks = LoadChecks(spark, f"{base}/checks", GrowthTable(spark, f"{base}/growth", buckets=16),
+                        ActivityBitmaps(spark, f"{base}/bitmaps", buckets=16), buckets=16)
+    first, second, third, fourth = quarters(clean_events(raw_events(spark, sf_dir, fixture)))
+    for k, part in enumerate((first, third, second, fourth)):
+        staging.append(part, keep_late=True)
+        checks.follow(staging)
+        if k == 1:
+            checks.compact()
+    staging.replay_late()
+    checks.follow(staging)
+    return checks
+
+
 def growth_with_late_rows(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
     """The second delivery comes after the third, so all its rows are late: kept
     aside, replayed at the end, and worked into the report that stood by then."""

@@ -82,6 +82,8 @@ LOAD_QUERIES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "dim_users_by_loads": lambda *a: _by_loads(loads.growth_by_loads, *a).dim_users(),
     "engagement_by_loads": lambda *a: _by_loads(loads.bitmaps_by_loads, *a).engagement(),
     "cohort_retention_by_loads": lambda *a: _by_loads(loads.bitmaps_by_loads, *a).cohort_retention(),
+    "value_economy_by_loads": lambda *a: money_rounded(_by_loads(loads.checks_by_loads, *a).value_economy()),
+    "dq_summary_by_loads": lambda *a: _by_loads(loads.checks_by_loads, *a).run_checks(),
     "growth_accounting_late": lambda *a: loads.growth_with_late_rows(*a).growth_accounting(),
     "stored_growth_month": loads.stored_growth,
     "layered_sql": loads.layered_sql,
@@ -139,6 +141,7 @@ def queries() -> dict[str, Query]:
     for fixture in (*FIXTURES, "b"):
         for key, fn in CHECK_QUERIES.items():
             out[key + SUFFIX[fixture]] = partial(_on_build, fn, fixture)
+    out["dq_summary_by_loads" + SUFFIX["b"]] = partial(_on_load, LOAD_QUERIES["dq_summary_by_loads"], "b")
     for key, fn in quality.FULL.items():  # sound tables lack no month: on the faulty log alone
         out[key + SUFFIX["b"]] = partial(_on_build, lambda t, fn=fn: fn(months_missing(t)), "b")
     return out
