@@ -35,6 +35,7 @@ from tidemark.operators import quality
 from tidemark.operators.marts import build_fct_events
 from tidemark.operators.spine import activity_spine
 from tidemark.operators.value_flow import ECONOMY_COLUMNS, value_economy
+from tidemark.session import scratch_path
 from tidemark.streaming.activity_bitmaps import ActivityBitmaps
 from tidemark.streaming.growth_table import USERS_SCHEMA, GrowthTable, LoadFollower
 from tidemark.streaming.incremental import IncrementalTable
@@ -243,11 +244,16 @@ class LoadChecks(LoadFollower):
             raise ValueError("the reports do not hold the same loads: call follow() first")
         days = self.active_days()
         tables = {
-            "dim_users": self.growth.dim_users(), "int_user_activity_periods": activity_spine(days), "fct_events": days,
+            "dim_users": self.growth.dim_users(), "fct_events": days, "int_user_activity_periods": activity_spine(days),
             "rpt_growth_accounting": self.growth.growth_accounting(), "rpt_net_growth": self.growth.net_growth(),
             "rpt_cohort_retention": self.bitmaps.cohort_retention(), "rpt_engagement": self.bitmaps.engagement(),
             "rpt_miles_economy": self.value_economy(),
         }
+        # many checks read each of them: merged from the loads once, not once per check
+        root = scratch_path(self.spark, "load-checks")
+        for name, df in tables.items():
+            df.write.parquet(f"{root}/{name}")
+            tables[name] = self.spark.read.schema(df.schema).parquet(f"{root}/{name}")
         own = [c for c in quality.COLUMN_CHECKS if c.table in LOG_TABLES and c.kind in quality.ROW_KINDS]
         sums = self._state("counts", self.log.entries()).agg(*[
             F.coalesce(F.sum(F.when(F.col("check_id") == c.check_id, F.col("failing_rows"))), F.lit(0)).alias(f"c{c.check_id}") for c in own])
