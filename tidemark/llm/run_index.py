@@ -129,7 +129,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_order(text: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Suffixes of all strings in order, by doubling; a string's end comes
-    before every byte, and equal suffixes stay in the order of their strings."""
+    before every byte, and equal suffixes stay in the order of their strings.
+    A round sorts only those that are not told apart yet."""
     n, longest = len(text), int(np.diff(offs).max())
     end = np.repeat(offs[1:], np.diff(offs))
     key = np.zeros(n, np.uint64)
@@ -138,17 +139,27 @@ def suffix_order(text: np.ndarray, offs: np.ndarray) -> np.ndarray:
         here = at + j
         key = (key << np.uint64(8)) | np.where(here < end, text[np.minimum(here, n - 1)], 0).astype(np.uint64)
     key = (key << np.uint64(8)) | np.minimum(end - at, 7).astype(np.uint64)
+    order = np.argsort(key)
+    ranked = key[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    rank = np.empty(n, np.int64)  # the place where a suffix's group of equals begins
+    rank[order] = np.maximum.accumulate(np.where(new, at, 0))
+    shared = at[~(new & np.append(new[1:], True))]  # places in groups of several
     depth = 7
-    while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[1], (ranked[1:] != ranked[:-1]).astype(np.int64)]))
-        if depth >= longest or rank.max() == n:
-            return np.argsort(rank, kind="stable")
-        there = at + depth
-        key = rank * np.int64(n + 1) + np.where(there < end, rank[np.minimum(there, n - 1)], 0)
+    while len(shared) and depth < longest:
+        here = order[shared]
+        there = here + depth
+        key = rank[here] * np.int64(n + 1) + np.where(there < end[here], rank[np.minimum(there, n - 1)] + 1, 0)
+        turn = np.argsort(key)
+        here, ranked = here[turn], key[turn]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        order[shared] = here
+        rank[here] = shared[np.maximum.accumulate(np.where(new, np.arange(len(shared)), 0))]
+        shared = shared[~(new & np.append(new[1:], True))]
         depth *= 2
+    here = order[shared]
+    order[shared] = here[np.lexsort((here, rank[here]))]
+    return order
 
 
 def matching_statistics(text: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -165,11 +176,12 @@ def matching_statistics(text: np.ndarray, offs: np.ndarray) -> np.ndarray:
     sums = flat.prefix_hash(text)
     end = np.repeat(offs[1:], np.diff(offs))
     best = np.zeros(n, np.int64)
-    for at, other in ((order[head], order[head - 1]), (order[head - 1], order[head])):
+    shared = _common(sums, order[head], order[head - 1], end)
+    for at in (order[head], order[head - 1]):
         sampled = np.zeros(n, np.int64)
         known = starts.copy()  # a string's first position is sampled or has no neighbour
         known[at] = True
-        sampled[at] = _common(sums, at, other, end)
+        sampled[at] = shared
         last = np.maximum.accumulate(np.where(known, np.arange(n), 0))
         best = np.maximum(best, sampled[last] - (np.arange(n) - last))
     return best
