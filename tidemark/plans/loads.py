@@ -19,6 +19,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.fixtures import raw_events
 from tidemark.sources.raw_events import read_raw_csv, read_raw_daily, write_raw_csv, write_raw_daily
 from tidemark.streaming.activity_bitmaps import ActivityBitmaps
+from tidemark.streaming.file_index import FileIndex
 from tidemark.streaming.growth_table import GrowthTable
 from tidemark.streaming.incremental import IncrementalTable, SchemaDriftError
 from tidemark.streaming.load_checks import LoadChecks
@@ -136,6 +137,19 @@ def checks_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> LoadCheck
     return checks
 
 
+def point_query(spark: SparkSession, sf_dir: str, fixture: str, column: str) -> DataFrame:
+    """Events of the least and greatest value of a column, through the file
+    index of four deliveries of the whole log."""
+    base = scratch_path(spark, f"indexed_{column}_{fixture}")
+    staging = IncrementalTable(spark, f"{base}/stg_events")
+    index = FileIndex(spark, f"{base}/index", staging)
+    for part in quarters(clean_events(raw_events(spark, sf_dir, fixture))):
+        staging.append(part)
+    index.follow(staging)
+    ends = staging.read().agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    return index.read_where(column, [v for v in (ends.low, ends.high) if v is not None])
+
+
 def growth_with_late_rows(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
     """The second delivery comes after the third, so all its rows are late: kept
     aside, replayed at the end, and worked into the report that stood by then."""

@@ -84,6 +84,8 @@ LOAD_QUERIES: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
     "cohort_retention_by_loads": lambda *a: _by_loads(loads.bitmaps_by_loads, *a).cohort_retention(),
     "value_economy_by_loads": lambda *a: money_rounded(_by_loads(loads.checks_by_loads, *a).value_economy()),
     "dq_summary_by_loads": lambda *a: _by_loads(loads.checks_by_loads, *a).run_checks(),
+    "events_by_user_indexed": partial(loads.point_query, column="user_id"),
+    "events_by_key_indexed": partial(loads.point_query, column="event_id"),
     "growth_accounting_late": lambda *a: loads.growth_with_late_rows(*a).growth_accounting(),
     "stored_growth_month": loads.stored_growth,
     "layered_sql": loads.layered_sql,

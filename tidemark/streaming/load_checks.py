@@ -73,6 +73,13 @@ def _bit(place: str) -> Column:
     return F.col(place).bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
 
 
+def bit_is_set(bits: str, place: str) -> Column:
+    """Whether a bitmap holds a place of its slot (bit b is bit b % 8 of byte b / 8)."""
+    byte = F.conv(F.hex(F.substr(bits, (F.floor(_bit(place) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    weight = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.col(place) % 8 + 1).cast("int"))
+    return byte.bitwiseAND(weight) != 0
+
+
 def bloom_of(keys: DataFrame, bits: int) -> DataFrame:
     """(slot, bits): the filter of the keys."""
     return (keys.select(F.explode(_places(bits)).alias("place")).groupBy(_slot("place").alias("slot"))
@@ -82,10 +89,8 @@ def bloom_of(keys: DataFrame, bits: int) -> DataFrame:
 def may_hold(keys: DataFrame, bloom: DataFrame, bits: int) -> DataFrame:
     """event_id of the keys all of whose places are set."""
     asked = keys.select("event_id", F.explode(_places(bits)).alias("place"))
-    byte = F.conv(F.hex(F.substr("bits", (F.floor(_bit("place") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("shiftright(byte, cast(place & 7 as int)) & 1 = 1")
-    both = asked.withColumn("slot", _slot("place")).join(bloom, "slot").withColumn("byte", byte)
-    return both.where(is_set).groupBy("event_id").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") == PLACES).select("event_id")
+    both = asked.withColumn("slot", _slot("place")).join(bloom, "slot")
+    return both.where(bit_is_set("bits", "place")).groupBy("event_id").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") == PLACES).select("event_id")
 
 
 def _merged_economy(rows: DataFrame) -> DataFrame:
