@@ -393,6 +393,14 @@ def _lz(data):
     return out
 
 
+def test_fingerprint_buckets_have_a_task_each(spark):
+    """Ranges of ids are dealt one to a task, none share one while others stand empty."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = spark.range(40 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    tasks = lz_fingerprint.compared_with_next(docs).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == n and max(r["count"] for r in tasks) <= 80
+
+
 def test_phrases(spark, texts):
     import random
     rng = random.Random(5)

@@ -176,6 +176,6 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     lead = (placed.join(F.broadcast(known), (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("h")))
             .select(F.col("to").alias("bucket"), F.lit(1).alias("extra"), "doc_id", "text"))
     rows = placed.select("bucket", F.lit(0).alias("extra"), "doc_id", "text").unionByName(lead)
-    return (rows.repartition(n, "bucket").sortWithinPartitions("bucket", "extra", *order)
+    return (rows.repartitionById(len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", "extra", *order)
             .mapInArrow(_walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                "edited_fingerprint string, near_edited double, near_next double"))
