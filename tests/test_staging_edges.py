@@ -109,6 +109,17 @@ def test_event_type_named_all_keeps_two_rows(spark):
     assert got == [("all", 1, 1, 1.0), ("all", 3, 2, 1.5), ("like", 2, 1, 2.0)]
 
 
+def test_engagement_without_type_or_user(spark):
+    """A missing type is a type and a missing user a user; a user of several types is active once."""
+    day = dt.date(2024, 1, 5)
+    rows = [(day, None, "u1"), (day, "like", "u1"), (day, "like", "u1"), (day, "all", None), (day, "like", None),
+            (dt.date(2024, 2, 1), None, None)]
+    fct = spark.createDataFrame(rows, "event_date date, event_type string, user_id string")
+    got = sorted(((r.month.month, r.event_type or "", r.total_events, r.active_users) for r in engagement(fct).collect()))
+    assert got == [(1, "", 1, 1), (1, "all", 1, 1), (1, "all", 5, 2), (1, "like", 3, 2), (2, "", 1, 1), (2, "all", 1, 1)]
+    assert engagement(fct.limit(0)).isEmpty()
+
+
 def test_rounding_half_away_on_scaled_double(spark):
     from tidemark.functions.columns import round_half_away
     df = spark.createDataFrame([(23.0 / 40,), (1.0 / 8,), (2.0 / 3,)], "x double")

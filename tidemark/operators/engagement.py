@@ -1,16 +1,18 @@
 """P10 ``engagement``: monthly events, active users and events per user,
 overall (``event_type = 'all'``) and per event type.
 
-One scan and one grouping-sets aggregate to (month, type, user) and
-(month, user) with partial aggregation, then one small aggregate per
-(month, set, type).  The summary rows are told apart by ``grouping_id`` and
-not by the label, so an event type literally named ``all`` still yields its
-own row next to the summary row, as the reference's union does.
+One scan, counted by (month, type, user) with partial aggregation, so each
+event is one update of one hash table.  Those rows, at most one per user,
+month and type, are brought together by (month, user); there the first row of
+each user is marked, and the sums of the marks over the types are the month's
+active users.  The summary is rolled up from the few (month, type) rows and
+stays apart from an event type literally named ``all``, which still yields its
+own row next to it, as the reference's union does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_start, round_half_away
@@ -21,15 +23,20 @@ ENGAGEMENT_COLUMNS = ("month", "event_type", "total_events", "active_users", "ev
 
 def engagement(fct: DataFrame) -> DataFrame:
     base = fct.select(month_start("event_date").alias("month"), "event_type", "user_id")
-    per_user = (base.groupingSets([["month", "event_type", "user_id"], ["month", "user_id"]],
-                                  "month", "event_type", "user_id")
-                .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")))
-    per_group = (per_user.groupBy("month", "gid", "event_type")
-                 .agg(F.sum("n").alias("total_events"),
-                      F.count(F.lit(1)).alias("active_users")))
-    label = F.when(F.col("gid") != 0, F.lit(SUMMARY_LABEL)).otherwise(F.col("event_type"))
+    per_user = base.groupBy("month", "event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    of_user = Window.partitionBy("month", "user_id").orderBy("event_type")
+    per_type = (per_user.withColumn("first", (F.row_number().over(of_user) == 1).cast("long"))
+                .groupBy("month", "event_type")
+                .agg(F.sum("n").alias("total_events"), F.count(F.lit(1)).alias("active_users"),
+                     F.sum("first").alias("new_users")))
+    per_group = (per_type.select("month", F.inline(F.array(
+        F.struct(F.lit(False).alias("summary"), "event_type", "total_events", "active_users"),
+        F.struct(F.lit(True).alias("summary"), F.lit(SUMMARY_LABEL).alias("event_type"), "total_events",
+                 F.col("new_users").alias("active_users")))))
+        .groupBy("month", "summary", "event_type")
+        .agg(F.sum("total_events").alias("total_events"), F.sum("active_users").alias("active_users")))
     per_active = F.col("total_events").cast("double") / F.col("active_users").cast("double")
     return per_group.select(
-        "month", label.alias("event_type"), "total_events", "active_users",
+        "month", "event_type", "total_events", "active_users",
         round_half_away(per_active, 2).alias("events_per_user"),
     )
