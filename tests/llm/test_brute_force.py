@@ -243,6 +243,43 @@ def test_passages_cover_what_brute_force_covers():
         assert (told >= want).all()
 
 
+def test_seeds_are_the_runs_of_equal_shingles():
+    """Runs of SEED and more, each by its first looked-up place, also in texts that repeat phrases."""
+    rng = np.random.default_rng(5)
+    for k in (1, 2, 3, 7, 40):
+        for _ in range(12):
+            a, b = (np.concatenate([rng.integers(0, k, 60), np.arange(rng.integers(1, 90)) % k, rng.integers(0, k, 30)])
+                    .astype(np.uint64) for _ in range(2))
+            x, y = passages._Own(a), passages._Own(b, False)
+            p, q, want = x.seq, y.seq, []
+            for j in range(0, len(q), passages.SEED):
+                for i in range(len(p)):
+                    back, on = 0, 0
+                    while back <= min(i, j) and back < passages.SEED + 1 and p[i - back] == q[j - back]:
+                        back += 1
+                    while i + on < len(p) and j + on < len(q) and p[i + on] == q[j + on]:
+                        on += 1
+                    if 0 < back <= passages.SEED <= back + on - 1:
+                        want.append((i, j))
+            assert list(passages._seeds(x, q)) == want
+
+
+def test_repetitive_texts_take_linear_time():
+    """One word or phrase 40,000 times, alone and behind a shared passage and other words."""
+    import time
+    own = lambda w, *x: passages._Own(passages.flat.mix(w.astype(np.uint64) + np.uint64(7)), *x)
+    for period in (1, 30):
+        junk = np.arange(40_000) % period
+        start = time.perf_counter()
+        assert passages.verified(own(junk), own(np.append(junk, 99), False)) == [(0, 39_996, 0, 39_996)]
+        assert time.perf_counter() - start < 2
+    head, rest = np.arange(1000, 1060), np.arange(2000, 2100)
+    start = time.perf_counter()
+    found = passages.verified(own(np.concatenate([head, rest, np.arange(10_000) % 2])),
+                              own(np.concatenate([head, rest + 1000, np.arange(9_900) % 2, [99]]), False))
+    assert found == [(160, 10_156, 160, 10_056), (0, 56, 0, 56)] and time.perf_counter() - start < 5
+
+
 def test_passages_beside_a_frequent_line(spark):
     """Two documents share a passage made up mostly of a line that many others
     have too: every key leads to the others, and still the two are found."""
