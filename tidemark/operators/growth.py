@@ -9,7 +9,8 @@ Labels per user and period:
                 the missed (next) period, so the last active period of every
                 user always yields one churn row after it.
 
-Plan: the spine is hash-partitioned by ``user_id`` once.  That one exchange
+Plan: the spine is hash-partitioned by ``user_id`` once (by its own aggregate,
+or here when it is read from a table).  That one exchange
 serves the window (clustered by user and grain, a superset of user) and the
 inner join to ``dim_users`` (whose own group-by is also partitioned by user),
 so the classification and the join add no further shuffle.  Each window row
@@ -31,9 +32,9 @@ NET_COLUMNS = ("period_start", "net_growth", "new_users", "retained_users",
 def windowed(spine: DataFrame, prepartitioned: bool = False) -> DataFrame:
     """Spine rows with previous / following active period and first period.
 
-    ``prepartitioned=True`` when the spine is read from a table bucketed by
-    ``user_id``: the bucketing then satisfies the window and the join, and no
-    shuffle is added at all.
+    ``prepartitioned=True`` when the spine comes out of ``activity_spine`` or
+    is read from a table bucketed by ``user_id``: its partitioning then
+    satisfies the window and the join, and no shuffle is added at all.
     """
     by_user = spine if prepartitioned else spine.repartition("user_id")
     w = Window.partitionBy("user_id", "period_grain").orderBy("period_start")

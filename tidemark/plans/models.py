@@ -126,9 +126,13 @@ class Models:
     def activity_spine(self) -> DataFrame:
         return self._get("int_user_activity_periods", lambda: activity_spine(self.fct_events, self._grains))
 
+    def _by_user(self) -> bool:
+        """Whether the spine comes out of its aggregate, which leaves it partitioned by user."""
+        return "int_user_activity_periods" not in self._stored
+
     @cached_property
     def growth_classified(self) -> DataFrame:
-        return classify(self.activity_spine)
+        return classify(self.activity_spine, prepartitioned=self._by_user())
 
     @cached_property
     def growth_accounting(self) -> DataFrame:
@@ -142,7 +146,7 @@ class Models:
     @cached_property
     def cohort_retention(self) -> DataFrame:
         return self._get("rpt_cohort_retention",
-                         lambda: cohort_retention(self.dim_users, self.only("month").activity_spine))
+                         lambda: cohort_retention(self.dim_users, self.only("month").activity_spine, self._by_user()))
 
     @cached_property
     def engagement(self) -> DataFrame:
