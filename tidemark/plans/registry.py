@@ -17,7 +17,7 @@ from tidemark.operators import quality, serving
 from tidemark.operators.value_flow import money_rounded
 from tidemark.plans import loads
 from tidemark.plans.models import Models
-from tidemark.session import scratch_epoch
+from tidemark.session import bounded_tasks, scratch_epoch
 from tidemark.sources.fixtures import FIXTURES, faulty_tables, months_missing
 from tidemark.streaming.growth_table import LoadFollower
 
@@ -122,14 +122,17 @@ def _by_loads(scenario: Callable[..., LoadFollower], spark: SparkSession, sf_dir
 
 
 def _on_models(fn: Callable[[Models], DataFrame], fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_tasks(spark)
     return fn(Models.from_fixture(spark, sf_dir, fixture))
 
 
 def _on_build(fn, fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_tasks(spark)
     return fn(_build(spark, sf_dir, fixture))
 
 
 def _on_load(scenario, fixture: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_tasks(spark)
     return scenario(spark, sf_dir, fixture)
 
 
