@@ -1,6 +1,7 @@
 """Operators against brute force on the whole small documents table."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 
 from tests.llm.cases import AZ, SMALL, shingle_set, small_docs, spaced
-from tidemark.llm import decontaminate, lz_fingerprint, minhash_dedup, mixing, passages, pii, queries, run_index, token_files
+from tidemark.llm import decontaminate, lz_fingerprint, minhash_dedup, mixing, passages, pii, queries, run_index, store, token_files
 
 
 @pytest.fixture(scope="module")
@@ -546,3 +547,30 @@ def test_hostile_texts_take_linear_time(unit):
     began = time.process_time()
     pii.disguised(text, pii.detect(text))
     assert time.process_time() - began < 10  # some tenths of a second; a quadratic step takes minutes
+
+
+@pytest.mark.parametrize("shared", [60, 300, 390, 700])
+def test_hot_anchors_are_cut_by_place_not_into_windows(spark, monkeypatch, shared):
+    """A passage in many different texts: few rows are made, no repeat is lost."""
+    monkeypatch.setattr(run_index, "HOT", 3)
+    made = []
+
+    def counted(df, name):
+        out = store.stored(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(run_index, "stored", counted)
+    rng = random.Random(shared)
+    passage = "".join(rng.choices("abcdefgh", k=shared))
+    tails = ["".join(rng.choices("abcdefgh", k=500)) for _ in range(3)]
+    texts = ["".join(rng.choices("abcdefgh", k=600)) + passage + "".join(rng.choices("abcdefgh", k=40)) + tails[i % 3] for i in range(30)]
+    texts += [texts[0][:900], "x" + texts[1][300:]]
+    got = _by_id(run_index.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    places = Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    for i, t in enumerate(texts):
+        gone = {b for a in range(len(t) - 399) if places[t[a:a + 400]] > 1 for b in range(a, a + 400)}
+        assert bytes(got.loc[i, "kept"]).decode() == "".join(x for b, x in enumerate(t) if b not in gone)
+    halves = [n for name, n in made if name == "context-halves"]
+    contexts = next(n for name, n in made if name == "contexts")
+    assert halves and max(halves) <= 2 * contexts < 2000
