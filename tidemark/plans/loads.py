@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.serving import growth_month
-from tidemark.operators.staging import clean_events
+from tidemark.operators.staging import STG_SCHEMA, clean_events
 from tidemark.plans.build import build_all, register_tables
 from tidemark.plans.models import Models
 from tidemark.session import scratch_path
@@ -76,6 +76,13 @@ def drift_refused(spark: SparkSession, sf_dir: str, fixture: str) -> DataFrame:
     return rows.select(F.inline(F.array(*[F.struct(F.lit(n).alias("drift"), F.lit(r).alias("refused")) for n, r in refused])), "rows")
 
 
+def staged_log(spark: SparkSession, sf_dir: str, fixture: str, path: str) -> DataFrame:
+    """The cleaned log, written once below ``path``: deliveries are parts of it,
+    and each is read several times on its way through a sink."""
+    clean_events(raw_events(spark, sf_dir, fixture)).write.parquet(f"{path}/log")
+    return spark.read.schema(STG_SCHEMA).parquet(f"{path}/log")
+
+
 def quarters(df: DataFrame, time_col: str = "event_time") -> list[DataFrame]:
     """The rows in four parts by time, each a quarter of the time range (one aggregate row)."""
     t = F.unix_micros(F.col(time_col))
@@ -87,16 +94,17 @@ def quarters(df: DataFrame, time_col: str = "event_time") -> list[DataFrame]:
     return [df.where(e) for e in ends]
 
 
-def _growth_tables(spark: SparkSession, fixture: str, name: str) -> tuple[IncrementalTable, GrowthTable]:
+def _growth_tables(spark: SparkSession, sf_dir: str, fixture: str, name: str) -> tuple[DataFrame, IncrementalTable, GrowthTable]:
     base = scratch_path(spark, f"{name}_{fixture}")
-    return IncrementalTable(spark, f"{base}/stg_events"), GrowthTable(spark, f"{base}/growth", buckets=16)
+    return (staged_log(spark, sf_dir, fixture, base), IncrementalTable(spark, f"{base}/stg_events"),
+            GrowthTable(spark, f"{base}/growth", buckets=16))
 
 
 def growth_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
     """Four deliveries, one after another; after each the growth report is
     brought up to date from the new load alone, and compacted once between."""
-    staging, growth = _growth_tables(spark, fixture, "growth_loads")
-    for k, part in enumerate(quarters(clean_events(raw_events(spark, sf_dir, fixture)))):
+    log, staging, growth = _growth_tables(spark, sf_dir, fixture, "growth_loads")
+    for k, part in enumerate(quarters(log)):
         staging.append(part)
         growth.follow(staging)
         if k == 2:
@@ -108,7 +116,7 @@ def bitmaps_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> Activity
     """Four deliveries, the second one late and replayed last; bitmaps follow each load."""
     base = scratch_path(spark, f"bitmaps_{fixture}")
     staging, bitmaps = IncrementalTable(spark, f"{base}/stg_events"), ActivityBitmaps(spark, f"{base}/bitmaps", buckets=16)
-    first, second, third, fourth = quarters(clean_events(raw_events(spark, sf_dir, fixture)))
+    first, second, third, fourth = quarters(staged_log(spark, sf_dir, fixture, base))
     for k, part in enumerate((first, third, second, fourth)):
         staging.append(part, keep_late=True)
         bitmaps.follow(staging)
@@ -126,7 +134,7 @@ def checks_by_loads(spark: SparkSession, sf_dir: str, fixture: str) -> LoadCheck
     staging = IncrementalTable(spark, f"{base}/stg_events")
     checks = LoadChecks(spark, f"{base}/checks", GrowthTable(spark, f"{base}/growth", buckets=16),
                         ActivityBitmaps(spark, f"{base}/bitmaps", buckets=16), buckets=16)
-    first, second, third, fourth = quarters(clean_events(raw_events(spark, sf_dir, fixture)))
+    first, second, third, fourth = quarters(staged_log(spark, sf_dir, fixture, base))
     for k, part in enumerate((first, third, second, fourth)):
         staging.append(part, keep_late=True)
         checks.follow(staging)
@@ -143,7 +151,7 @@ def point_query(spark: SparkSession, sf_dir: str, fixture: str, column: str) ->
     base = scratch_path(spark, f"indexed_{column}_{fixture}")
     staging = IncrementalTable(spark, f"{base}/stg_events")
     index = FileIndex(spark, f"{base}/index", staging)
-    for part in quarters(clean_events(raw_events(spark, sf_dir, fixture))):
+    for part in quarters(staged_log(spark, sf_dir, fixture, base)):
         staging.append(part)
     index.follow(staging)
     ends = staging.read().agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
@@ -153,8 +161,8 @@ def point_query(spark: SparkSession, sf_dir: str, fixture: str, column: str) ->
 def growth_with_late_rows(spark: SparkSession, sf_dir: str, fixture: str) -> GrowthTable:
     """The second delivery comes after the third, so all its rows are late: kept
     aside, replayed at the end, and worked into the report that stood by then."""
-    staging, growth = _growth_tables(spark, fixture, "growth_late")
-    first, second, third, fourth = quarters(clean_events(raw_events(spark, sf_dir, fixture)))
+    log, staging, growth = _growth_tables(spark, sf_dir, fixture, "growth_late")
+    first, second, third, fourth = quarters(log)
     for part in (first, third, second, fourth):
         staging.append(part, keep_late=True)
         growth.follow(staging)

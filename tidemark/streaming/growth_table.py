@@ -202,7 +202,8 @@ class GrowthTable(LoadFollower):
         """Signed counts that a load's users bring, given the loads before."""
         new = self.spark.read.schema(USERS_SCHEMA).parquet(users)
         old = self._read("users", USERS_SCHEMA, entries).where(F.col("bucket").isin(spread["buckets"]))
-        known = (old.join(new.select("user_id"), "user_id", "left_semi").groupBy("user_id")
+        # merged by user, as the rest is: a load's users would else go to the driver load by load
+        known = (old.join(new.select("user_id").hint("merge"), "user_id", "left_semi").groupBy("user_id")
                  .agg(F.min("first").alias("old_first"), F.max("last_date").alias("old_last")))
         both = new.join(known, "user_id", "left")
 
