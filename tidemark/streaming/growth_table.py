@@ -202,14 +202,15 @@ class GrowthTable(LoadFollower):
         """Signed counts that a load's users bring, given the loads before."""
         new = self.spark.read.schema(USERS_SCHEMA).parquet(users)
         old = self._read("users", USERS_SCHEMA, entries).where(F.col("bucket").isin(spread["buckets"]))
-        # merged by user, as the rest is: a load's users would else go to the driver load by load
-        known = (old.join(new.select("user_id").hint("merge"), "user_id", "left_semi").groupBy("user_id")
-                 .agg(F.min("first").alias("old_first"), F.max("last_date").alias("old_last")))
-        both = new.join(known, "user_id", "left")
-
         marks = [(e["max_micros"], e["max_date"]) for e in entries if e["max_micros"] is not None]
         in_order = spread["min_micros"] is None or not marks or (
             spread["min_micros"] > max(m for m, _ in marks) and str(spread["min_date"]) >= max(d for _, d in marks))
+        # in order, merged by user as the rest is: a load's users would else go to the driver
+        # load by load.  Late rows read the earlier ones several times; there Spark chooses.
+        users_of = new.select("user_id").hint("merge") if in_order else new.select("user_id")
+        known = (old.join(users_of, "user_id", "left_semi").groupBy("user_id")
+                 .agg(F.min("first").alias("old_first"), F.max("last_date").alias("old_last")))
+        both = new.join(known, "user_id", "left")
         moves = (F.col("first") < F.col("old_first")) | (F.array_min("dates") < F.col("old_last"))
         goes_on = both if in_order else both.where(F.col("old_first").isNull() | ~moves)
 
