@@ -281,6 +281,61 @@ def test_repetitive_texts_take_linear_time():
     assert found == [(160, 10_156, 160, 10_056), (0, 56, 0, 56)] and time.perf_counter() - start < 5
 
 
+def test_places_outside_all_passages_are_not_searched():
+    """Every stretch that passes lies in the bounds; texts without one take no growing."""
+    rng = np.random.default_rng(17)
+    for k in (3, 9, 40, 1 << 40):
+        for _ in range(15):
+            phrase = rng.integers(0, k, 70)
+            a = np.concatenate([rng.integers(0, k, 60), phrase, np.full(int(rng.integers(0, 60)), 1), rng.integers(0, k, 30)])
+            b = np.concatenate([rng.integers(0, k, 20), np.where(rng.random(70) < 0.03, 7, phrase), np.full(50, 1)])
+            x, y = (passages._Own(passages.flat.mix(w.astype(np.uint64) + np.uint64(9))) for w in (a, b))
+            few = max(1, int(passages._few_shared(x.few, y.few)))
+            parts = passages._stretches(x, y, passages._inside(y.seq, x.set), few)
+            inside = [p.inside for p in parts] if parts else [np.zeros(len(o.seq), bool) for o in (x, y)]
+            for s in range(0, len(x.seq) - passages.LEAST + 1, 3):
+                for t in range(0, len(y.seq) - passages.LEAST + 1, 3):
+                    for n in (passages.LEAST, 60):
+                        p, q = x.seq[s:s + n], y.seq[t:t + n]
+                        if len(p) == n == len(q) and len(set(p.tolist()) & set(q.tolist())) and passages._near(p, q):
+                            assert inside[0][s:s + n].all() and inside[1][t:t + n].all()
+
+
+def test_known_places_are_not_found_again():
+    """Of a pair that is linked already only what lies beyond is grown; two
+    scattered runs of one frequent word beside unlike text are no seeds."""
+    own = lambda w, *x: passages._Own(passages.flat.mix(w.astype(np.uint64) + np.uint64(7)), *x)
+    rng = np.random.default_rng(3)
+    p, q = rng.integers(100, 1 << 40, 80), rng.integers(100, 1 << 40, 90)
+    a, b = (np.concatenate([p, rng.integers(100, 1 << 40, 50), q]) for _ in range(2))
+    assert passages.verified(own(a), own(b, False)) == [(130, 216, 130, 216), (0, 76, 0, 76)]
+    first, both = ([(0, 76)], [(0, 76)]), ([(0, 76), (130, 216)],) * 2
+    assert passages.verified(own(a), own(b, False), first) == [(130, 216, 130, 216)]
+    assert passages.verified(own(a), own(b, False), both) == []
+    junk = np.concatenate([np.append(np.full(40, 5), rng.integers(6, 9, 20)) for _ in range(60)])
+    other = np.concatenate([np.append(np.full(40, 5), rng.integers(10, 13, 20)) for _ in range(60)])
+    x, y = own(junk), own(other, False)
+    assert passages._stretches(x, y, passages._inside(y.seq, x.set), 1) is None and passages.verified(x, y) == []
+
+
+def test_equal_texts_are_compared_once(spark, monkeypatch):
+    """Copies get their whole text as a span and count as links, but only one meets other texts."""
+    from tests.llm.cases import words
+    seen = []
+    links = passages.passage_links
+    monkeypatch.setattr(passages, "passage_links", lambda docs: seen.append(docs.count()) or links(docs))
+    one, near, short = words(90, 1), words(60, 2), words(30, 3)
+    rows = [(k, " ".join(one)) for k in range(1, 9)] + [(1, " ".join(one)), (None, " ".join(one))]
+    rows += [(20, " ".join(one[:70] + near)), (30, " ".join(short)), (31, " ".join(short)), (40, " ".join(near))]
+    got = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    long = got[got["doc_id"].isna() | (got["doc_id"] < 9)]
+    assert len(got) == len(rows) and len(long) == 10
+    assert set(long["spans"]) == {"0:90"} and set(long["n_links"]) == {10} and set(long["class_id"]) == {1}
+    rest = {r.doc_id: [r.spans, r.n_links, r.class_id] for r in got.itertuples()}
+    assert rest[20] == ["0:130", 10, 1] and rest[40] == ["0:60", 10, 1] and rest[30] == ["", 0, 30] and rest[31] == ["", 0, 31]
+    assert seen == [4]
+
+
 def test_passages_beside_a_frequent_line(spark):
     """Two documents share a passage made up mostly of a line that many others
     have too: every key leads to the others, and still the two are found."""
