@@ -301,6 +301,20 @@ def test_places_outside_all_passages_are_not_searched():
                             assert inside[0][s:s + n].all() and inside[1][t:t + n].all()
 
 
+def test_stretches_of_few_other_shingles():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        n, most = int(rng.integers(46, 100)), int(rng.integers(0, 6))
+        match = rng.random(n) < rng.random()
+        seq = (rng.integers(0, int(rng.integers(2, 30)), n) + 100 * match).astype(np.uint64)
+        want = np.zeros(n, bool)
+        for s in range(n):
+            for e in range(s + passages.LEAST, n + 1):
+                if len(set(seq[s:e][~match[s:e]].tolist())) <= most:
+                    want[s:e] = True
+        assert (passages._few_others(seq, match, most) == want).all()
+
+
 def test_known_places_are_not_found_again():
     """Of a pair that is linked already only what lies beyond is grown; two
     scattered runs of one frequent word beside unlike text are no seeds."""
