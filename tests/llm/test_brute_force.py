@@ -364,6 +364,50 @@ def test_passages_beside_a_frequent_line(spark):
     assert set(far["spans"]) == {""}
 
 
+def test_sets_of_a_large_group_are_sent_once(spark, monkeypatch):
+    """However many slices a group is dealt in, each shingle of a window goes out
+    once, and the same pairs are found as when the group comes whole."""
+    import pyarrow as pa
+    from tests.llm.cases import words
+    rng = random.Random(5)
+    line = words(10, 700)
+    bodies = [words(70, 700 + k) for k in range(1, 13)]
+    texts, part = [], []
+    for k in range(90):
+        body = list(bodies[k % 12]) if k < 60 else words(70, 900 + k)
+        for x in rng.sample(range(70), k % 5):
+            body[x] = f"w{k}x{x}"
+        texts.append(" ".join(body[:35] + line + body[35:]))
+        part.append(k % 7)
+    seqs = [passages.flat.gram_hashes(passages._words(raw, np.array([0, len(raw)]))[0], passages.SHINGLE)
+            for raw in (np.frombuffer(t.encode(), np.uint8) for t in texts)]
+    shingle = next(x for x in seqs[0] if all(x in y for y in seqs[1:]))
+    key = int((passages.flat.mix(np.array([shingle]) ^ passages._KEY[0]).view(np.int64)[0] & ~7))
+
+    def dealt(slices):
+        groups = [[{"key": key, "part": p, "slices": slices, "left": 40, "right": 40}] for p in part]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(90), pa.int64()), pa.array(texts), pa.array(groups)], names=["uid", "text", "groups"])
+        return pa.Table.from_batches(passages._near_key([batch])).sort_by([("key", "ascending"), ("slice", "ascending")])
+
+    def found(rows):
+        table = pa.Table.from_batches(passages._search(rows.to_batches()))
+        return table.to_pylist()
+
+    whole, cut = dealt(1), dealt(9)
+    size = lambda table: sum(len(x.as_py()) for x in table["shingles"])
+    assert size(whole) == size(cut) and len(set(cut["slice"].to_pylist())) == 9
+    want = {(r["uid"], r["other"]) for r in found(whole)}
+    sets = [set((x >> np.uint64(32)).tolist()) for x in seqs]
+    least = lambda a, b: int(passages._few_shared(whole["few"][a].as_py(), whole["few"][b].as_py()))
+    assert want == {(a, b) for a in range(90) for b in range(a + 1, 90) if part[a] != part[b] and len(sets[a] & sets[b]) >= least(a, b)}
+    kept = found(cut)
+    assert size(cut) > sum(len(r["shingles"]) for r in kept) and all(r["other"] is None for r in kept)
+    monkeypatch.setattr(passages, "PLACES", 400)
+    rows = spark.createDataFrame([(r["key"], r["uid"], r["part"], r["few"], bytearray(r["shingles"])) for r in kept],
+                                 "key long, uid long, part long, few int, shingles binary")
+    assert {(r.a, r.b) for r in passages._searched_large(rows).distinct().collect()} == want
+
+
 def test_links_of_a_large_group_are_counted_whole(spark):
     from tests.llm.cases import words
     shared = words(70, 800)
