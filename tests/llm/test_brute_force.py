@@ -408,6 +408,23 @@ def test_sets_of_a_large_group_are_sent_once(spark, monkeypatch):
     assert {(r.a, r.b) for r in passages._searched_large(rows).distinct().collect()} == want
 
 
+def test_a_text_goes_once_to_each_cell_of_pairs(spark):
+    """All pairs of a family of texts are dealt, each once, while a cell gets a text once for all its pairs."""
+    rows = [(k, "x" * 3000) for k in range(80)] + [(k, "y" * 60) for k in range(80, 90)]
+    pairs = [(a, b, a % 2 == 0) for a in range(80) for b in range(a + 1, 80)] + [(80, b, False) for b in range(81, 90)]
+    got = passages._cells(spark.createDataFrame(pairs, "a long, b long, linked boolean"),
+                          spark.createDataFrame(rows, "uid long, text string")).collect()
+    assert sorted((x.a, r.uid, x.linked) for r in got for x in r.pairs) == pairs
+    cells = defaultdict(set)
+    for r in got:
+        assert r.uid not in cells[r.cell]
+        cells[r.cell].add(r.uid)
+    firsts = {(r.cell, r.uid) for r in got if r.first}
+    assert {(r.cell, x.a) for r in got for x in r.pairs} == firsts
+    assert len(cells) > 3 and len(got) < len(pairs) / 5
+    assert all(sum(3000 if u < 80 else 60 for c, u in firsts if c == of) < 2 * passages.CELL_BYTES for of in cells)
+
+
 def test_links_of_a_large_group_are_counted_whole(spark):
     from tests.llm.cases import words
     shared = words(70, 800)
